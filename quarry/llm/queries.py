@@ -5,13 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm import quality_rules as rules
 from quarry.llm.common import table
+from quarry.llm.bpe import bpe_round_trip
 from quarry.llm.exact_dedup import exact_dedup
+from quarry.llm.language_id import language_id
+from quarry.llm.packing import pack_documents
+from quarry.llm.quality_classifier import quality_classifier
 from quarry.llm.url_filter import DEFAULT, RULES, rule_table, url_filter
 
 
+def tokenizer_path(name: str) -> str:
+    """The file of a public tokenizer, where the installed package keeps it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), rule_table(spark))
 
@@ -24,8 +36,26 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    n = (F.length("ids") / 4).cast("bigint").alias("n_tokens")
+    return both.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_exact_dedup, op8_quality_rules)
+    f.__name__: f for f in (op2_url_filters, op3_exact_dedup, op5_best_fit_packing, op7_quality_classifier, op8_quality_rules, op9_language_id, op10_bpe)
 }
 
 _S = r"[\x20\x09-\x0D]"
