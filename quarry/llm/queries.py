@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import quality_rules as rules
-from quarry.llm.common import table
+from quarry.llm.common import squeezed, table
 from quarry.llm.bpe import bpe_round_trip
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.language_id import language_id
+from quarry.llm.line_dedup import WINDOW, line_dedup
+from quarry.llm.ngram_join import ngram_jaccard_join
 from quarry.llm.packing import pack_documents
 from quarry.llm.quality_classifier import quality_classifier
+from quarry.llm.substring_dedup import substring_dedup
 from quarry.llm.url_filter import DEFAULT, RULES, rule_table, url_filter
 
 
@@ -24,6 +27,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.trim(squeezed(F.col("text"))), 256).alias("kept_sha256"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), rule_table(spark))
 
@@ -36,10 +44,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines and n_removed (lines with words), sha256 of the text that is left."""
+    left = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,7 +73,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_exact_dedup, op5_best_fit_packing, op7_quality_classifier, op8_quality_rules, op9_language_id, op10_bpe)
+    f.__name__: f for f in (op1_substring_dedup, op2_url_filters, op3_exact_dedup, op4_ngram_jaccard_join, op5_best_fit_packing, op6_line_dedup, op7_quality_classifier, op8_quality_rules, op9_language_id, op10_bpe)
 }
 
 _S = r"[\x20\x09-\x0D]"
@@ -110,4 +128,30 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-ORACLES: dict[str, str] = {"op2_url_filters": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _op8()}
+_OP1 = rf"""
+with d as (
+  select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_S}+'), lambda w: w <> '') as w from documents),
+i as (select rid, doc_id, w, unnest(generate_series(1, len(w) - 19)) as i from d where len(w) >= 20),
+g as (select rid, doc_id, i, array_to_string(w[i:i + 19], ' ') as g from i),
+r as (select rid, i from (select rid, i, row_number() over (partition by g order by doc_id, i) as k from g) where k > 1),
+p as (select distinct rid, unnest(generate_series(i, i + 19)) as i from r),
+n as (select rid, count(*) as n, list(i) as gone from p group by rid)
+select doc_id, len(w) as n_words, coalesce(n, 0) as n_removed,
+  sha256(case when n is null then array_to_string(w, ' ') else array_to_string(list_transform(list_filter(list_zip(w, generate_series(1, len(w))), lambda x: not list_contains(gone, x[2])), lambda x: x[1]), ' ') end) as kept_sha256
+from d left join n using (rid)
+"""
+
+_OP6 = rf"""
+with d as (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents),
+l as (select rid, doc_id, i, x[i] as line from (select rid, doc_id, x, unnest(generate_series(1, len(x))) as i from d)),
+s as (select rid, doc_id, i, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line, row_number() over (partition by rid order by i) as o from l where regexp_matches(line, '[^ 	-]')),
+w as (select rid, doc_id, o, list(line) over (partition by rid order by o rows between current row and {WINDOW - 1} following) as g from s),
+r as (select rid, o from (select rid, o, row_number() over (partition by g order by doc_id, o) as k from w where len(g) = {WINDOW}) where k > 1),
+p as (select distinct rid, unnest(generate_series(o, o + {WINDOW - 1})) as o from r),
+k as (select l.rid, l.i, l.line, s.o, p.o as gone from l left join s using (rid, i) left join p on p.rid = s.rid and p.o = s.o)
+select doc_id, n_lines, n_removed, kept_sha256 from d join (
+  select rid, count(o) as n_lines, count(gone) as n_removed, sha256(coalesce(string_agg(line, chr(10) order by i) filter (gone is null), '')) as kept_sha256
+  from k group by rid) using (rid)
+"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": _OP1, "op6_line_dedup": _OP6, "op2_url_filters": _OP2, "op3_exact_dedup": _OP3, "op8_quality_rules": _op8()}
