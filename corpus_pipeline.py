@@ -1,8 +1,77 @@
-"""The corpus pipeline: its stages in order."""
+"""The corpus pipeline: raw documents to packed training sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet in the shared
+folder and rereads it as the next stage's docs. All stages but the last return the columns of documents.
+SQL cannot express the pipeline (learned profiles, packing), so ORACLE_SQL is None and tests compare with
+brute force. Empty tables go through all stages; nulls, empty texts and repeated rows fare as the operators say.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.llm import language_id as lid
+from quarry.llm.common import materialise, table
+from quarry.llm.line_dedup import line_dedup
+from quarry.llm.ngram_join import ngram_jaccard_join
+from quarry.llm.packing import pack_documents
+from quarry.llm.queries import tokenizer_path
+from quarry.llm.substring_dedup import substring_dedup
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _edited(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents, with n_chars as the text now has."""
+    return docs.select(*[F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in columns])
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language: those without a letter are rejected."""
+    given = docs.drop("lang_pred", "score")
+    known = given.filter(~lid.held_out(F.col("doc_id"), 4, 2))
+    judged = lid.identify(given, lid.fit(known))
+    return judged.filter(F.col("lang_pred") != lid.UNDETERMINED).select(*[F.col(f"`{c}`") for c in given.columns])
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines of later repeated runs."""
+    return _edited(line_dedup(docs), docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar ones: that with the smallest id. Rows with a null id stay."""
+    classes = ngram_jaccard_join(docs)
+    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that occur earlier."""
+    return _edited(substring_dedup(docs), docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("substring_dedup", drop_repeated_passages),
+    ("best_fit_packing", pack),
+]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
