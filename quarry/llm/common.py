@@ -58,6 +58,14 @@ def release(spark: SparkSession | None = None) -> None:
 atexit.register(release)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """name, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def squeezed(text: Column) -> Column:
     """Null as empty; each run of white space replaced by one space."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), _ODD_SPACE, " ")

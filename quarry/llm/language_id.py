@@ -142,7 +142,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
 
     A null text or one without letters gets `und` and score 0, as all texts do without prototypes. Of equal
     cosines the first language in order of name wins. Repeated rows are judged each for itself.
+    Columns called lang_pred and score are replaced.
     """
+    docs = docs.drop("lang_pred", "score")
     langs = sorted(prototypes)
     matrix = np.stack([prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-12) for x in langs], 1).astype(np.float32) if langs else None
     at, names = docs.columns.index(text_col), docs.columns

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import let, materialise, with_group
+from quarry.llm.common import fresh, let, materialise, with_group
 
 #: Shortest run of lines that is deleted, and the window from which a fingerprint is chosen.
 WINDOW = 3
@@ -74,22 +74,24 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", te
     whose sequence also begins earlier: in a row with a smaller id, or earlier in the same one. Lines are equal
     if they are but for white space at their ends. Null ids come first; rows with equal ids are in an arbitrary
     but fixed order; rows equal in id and text count as one and fare alike. Blank lines stay. A null text stays
-    null and has no lines; texts with fewer lines stay as they are. All columns are kept.
+    null and has no lines; texts with fewer lines stay as they are. All columns are kept
+    (n_lines and n_removed are replaced).
     """
     docs = docs.drop("n_lines", "n_removed")
-    runs = repeated_runs(docs, window, id_col, text_col)
-    keyed = docs.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    both = keyed.join(runs, "_row", "left").withColumn("_lines", _lines(F.col(text_col)))
+    row, starts, lines_, keep_ = (fresh(n, docs.columns) for n in ("_row", "_starts", "_lines", "_keep"))
+    runs = repeated_runs(docs, window, id_col, text_col).select(F.col("_row").alias(row), F.col("_starts").alias(starts))
+    keyed = docs.withColumn(row, F.xxhash64(F.col(id_col), F.col(text_col)))
+    both = keyed.join(runs, row, "left").withColumn(lines_, _lines(F.col(text_col)))
 
     def left(lines: Column) -> Column:
         solid = F.filter(F.transform(lines, lambda x, i: F.when(_solid(x), i)), lambda i: i.isNotNull())
-        gone = lambda s: F.flatten(F.transform(F.col("_starts"), lambda a: F.transform(F.sequence(a, a + window - 1), lambda o: F.get(s, o))))
+        gone = lambda s: F.flatten(F.transform(F.col(starts), lambda a: F.transform(F.sequence(a, a + window - 1), lambda o: F.get(s, o))))
         return F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), let(solid, gone))
 
-    keep = F.when(F.col("_starts").isNotNull(), let(F.col("_lines"), left))
-    kept = both.withColumn("_keep", keep)
-    text = F.when(F.col("_keep").isNull(), F.col(text_col)).otherwise(let(F.col("_lines"), lambda x: F.array_join(F.transform(F.col("_keep"), lambda i: F.get(x, i)), "\n")))
-    n = F.size(F.filter("_lines", _solid)).cast("bigint")
-    removed = F.coalesce(F.size("_lines") - F.size("_keep"), F.lit(0)).cast("bigint")
+    keep = F.when(F.col(starts).isNotNull(), let(F.col(lines_), left))
+    kept = both.withColumn(keep_, keep)
+    text = F.when(F.col(keep_).isNull(), F.col(text_col)).otherwise(let(F.col(lines_), lambda x: F.array_join(F.transform(F.col(keep_), lambda i: F.get(x, i)), "\n")))
+    n = F.size(F.filter(lines_, _solid)).cast("bigint")
+    removed = F.coalesce(F.size(lines_) - F.size(keep_), F.lit(0)).cast("bigint")
     out = [text.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return kept.select(*out, n.alias("n_lines"), removed.alias("n_removed"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.llm.bpe import byte_chars
-from quarry.llm.common import materialise
+from quarry.llm.common import fresh, materialise
 
 CAPACITY = 1024
 #: Added after each document.
@@ -188,18 +188,20 @@ def best_fit_pack(items: DataFrame, size_col: str = "length", capacity: int = CA
     """items with sequence_id and offset: sequences of at most `capacity`, gapless from 0.
 
     Sizes must be from 1 to capacity. items is read twice and must not change in between (a written table).
-    Equal rows are interchangeable. An empty input gives an empty result.
+    Equal rows are interchangeable. An empty input gives an empty result. Columns called sequence_id and offset are replaced.
     """
+    items = items.drop("sequence_id", "offset")
+    salt_, rank_ = fresh("_salt", items.columns), fresh("_rank", items.columns)
     ranked_by = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in salt_by]
-    salted = items.withColumn("_salt", F.pmod(F.xxhash64(*ranked_by), F.lit(RANKS)).cast("int"))
+    salted = items.withColumn(salt_, F.pmod(F.xxhash64(*ranked_by), F.lit(RANKS)).cast("int"))
     # at most capacity * RANKS small rows, however many items
-    by = salted.groupBy(F.col(size_col).cast("int").alias("s"), "_salt").agg(F.count("*").alias("n")).toArrow()
+    by = salted.groupBy(F.col(size_col).cast("int").alias("s"), F.col(salt_).alias("salt")).agg(F.count("*").alias("n")).toArrow()
     n = np.zeros((capacity + 1, RANKS), np.int64)
-    n[by["s"].to_numpy(), by["_salt"].to_numpy()] = by["n"].to_numpy()
+    n[by["s"].to_numpy(), by["salt"].to_numpy()] = by["n"].to_numpy()
     before = np.cumsum(n, axis=1) - n
     table = places(pack_counts(n.sum(axis=1).tolist(), capacity), capacity)
-    within = F.row_number().over(Window.partitionBy(size_col, "_salt").orderBy(*[F.col(c) for c in salt_by])) - 1
-    ranked = salted.withColumn("_rank", within.cast("bigint"))
+    within = F.row_number().over(Window.partitionBy(size_col, salt_).orderBy(*[F.col(c) for c in salt_by])) - 1
+    ranked = salted.withColumn(rank_, within.cast("bigint"))
     names = items.columns
 
     def run(batches):

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import grams as G
+from quarry.llm.common import fresh
 
 SPAN, BLOCK = 20, 10
 _SEEN, _BLOCK = 1, 2
@@ -65,13 +66,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     earlier: in a document with a smaller id, or earlier in the same one. Windows are judged on the input.
     Ids are whole numbers; null ids come first; rows with the same id are ordered by text, and of equal rows
     one comes first. A null text stays null and has no words; texts under SPAN words stay as they are. A text
-    that loses words loses the white space after each; nothing else in it changes. All columns are kept.
+    that loses words loses the white space after each; nothing else in it changes. All columns are kept (n_words and
+    n_removed are replaced).
     """
-    if {"n_words", "n_removed"} & set(docs.columns):
-        docs = docs.drop("n_words", "n_removed")
+    docs = docs.drop("n_words", "n_removed")
+    group = fresh("_grp", docs.columns)
     groups, buckets = G.layout(docs, text_col)
     bounds = G.ranges(docs, groups, id_col, text_col)
-    dealt = docs.withColumn("_grp", G.range_of(F.col(id_col).cast("bigint"), bounds))
+    dealt = docs.withColumn(group, G.range_of(F.col(id_col).cast("bigint"), bounds))
     names = docs.columns
 
     def index_and_probe(key, t):
@@ -152,7 +154,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         out = out.set_column(names.index(text_col), text_col, pa.array(texts, t.schema.field(text_col).type))
         return out.append_column("n_words", pa.array(n_words.astype(np.int64))).append_column("n_removed", pa.array(n_lost.astype(np.int64)))
 
-    own = dealt.groupBy("_grp")
+    own = dealt.groupBy(group)
     probed = own.applyInArrow(index_and_probe, G.MESSAGE).groupBy("bucket").applyInArrow(anchors, G.MESSAGE)
     extended = own.cogroup(probed.groupBy("grp")).applyInArrow(extend, G.MESSAGE)
     judged = extended.groupBy("bucket").applyInArrow(first_of_all, G.MESSAGE)
