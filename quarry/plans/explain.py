@@ -24,4 +24,4 @@ def report(df: DataFrame) -> Report:
     filters = [f.strip() for m in re.findall(r"PushedFilters: \[(.*?)\]\n", text) for f in re.split(r", (?![^(]*\))", m) if f.strip()]
     columns = [re.findall(r"(\w+):", m) for m in re.findall(r"ReadSchema: struct<(.*?)>\n", text)]
     joins = re.findall(r"(?m)^\(\d+\) (\w*Join\w*|CartesianProduct)", text)
-    return Report(filters, columns, joins, len(re.findall(r"(?m)^\(\d+\) Exchange", text)), bool(re.search(r"Python|Pandas|Arrow(?:EvalPython|InPandas)|MapInArrow", text)), text)
+    return Report(filters, columns, joins, len(re.findall(r"(?m)^\(\d+\) Exchange", text)), bool(re.search(r"(?m)^\(\d+\) \w*(?:Python|Pandas|Arrow)", text)), text)
