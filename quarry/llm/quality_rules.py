@@ -25,7 +25,8 @@ RULES: list[tuple[str, str, float | None, float | None]] = [
     ("symbol_ratio", "symbol_ratio", None, 0.2),
     ("bang_ratio", "bang_ratio", None, 0.3),
     ("stop_word_ratio", "stop_word_ratio", 0.02, None),
-    ("dup_line_ratio", "dup_line_ratio", None, 0.3),
+    ("dup_line_ratio", "dup_line_ratio", None, 0.5),
+    ("stutter_ratio", "stutter_ratio", None, 0.3),
     ("ellipsis_line_ratio", "ellipsis_line_ratio", None, 0.3),
     ("bullet_line_ratio", "bullet_line_ratio", None, 0.9),
 ]
@@ -75,6 +76,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         n(F.size("_lines")).alias("n_lines"),
         n(F.regexp_count("_text", F.lit("!!"))).alias("n_bangs"),
         n(F.size(F.filter("_words", lambda w: F.lower(w).isin(stop)))).alias("n_stop_words"),
+        n(let(F.col("_words"), lambda ws: F.size(F.filter(ws, lambda w, i: (i > 0) & (F.get(ws, i - 1) == w))))).alias("n_stutters"),
         n(F.size(F.filter("_lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*\z")))).alias("n_ellipsis_lines"),
         n(F.size(F.filter("_lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-•*][\x20\x09-\x0D]")))).alias("n_bullet_lines"),
     )
@@ -84,7 +86,7 @@ def ratios() -> dict[str, Column]:
     over = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
     return {
         "mean_word_length": over("word_chars", "n_words"), "symbol_ratio": over("n_symbols", "n_words"), "bang_ratio": over("n_bangs", "n_words"),
-        "stop_word_ratio": over("n_stop_words", "n_words"), "dup_line_ratio": over("n_dup_lines", "n_lines"),
+        "stop_word_ratio": over("n_stop_words", "n_words"), "stutter_ratio": over("n_stutters", "n_words"), "dup_line_ratio": over("n_dup_lines", "n_lines"),
         "ellipsis_line_ratio": over("n_ellipsis_lines", "n_lines"), "bullet_line_ratio": over("n_bullet_lines", "n_lines"),
     }
 

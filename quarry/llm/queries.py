@@ -102,7 +102,7 @@ def _op8() -> str:
     stop = ", ".join(f"'{w}'" for w in sorted({w for s in rules.STOP_WORDS.values() for w in s.split()}))
     over = {
         "mean_word_length": "word_chars / greatest(n_words, 1)", "symbol_ratio": "n_symbols / greatest(n_words, 1)", "bang_ratio": "n_bangs / greatest(n_words, 1)",
-        "stop_word_ratio": "n_stop_words / greatest(n_words, 1)", "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)",
+        "stop_word_ratio": "n_stop_words / greatest(n_words, 1)", "stutter_ratio": "n_stutters / greatest(n_words, 1)", "dup_line_ratio": "n_dup_lines / greatest(n_lines, 1)",
         "ellipsis_line_ratio": "n_ellipsis_lines / greatest(n_lines, 1)", "bullet_line_ratio": "n_bullet_lines / greatest(n_lines, 1)",
     }
     bounds = [f"{over[s]} {op} {v}" for _, s, low, high in rules.RULES for op, v in ((">=", low), ("<=", high)) if v is not None]
@@ -120,6 +120,7 @@ s as (
   select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, len(regexp_extract_all(t, '{rules.SYMBOLS}')) as n_symbols,
     len(x) - len(list_distinct(x)) as n_dup_lines, coalesce(c.n, 0) as n_repeat_words, len(x) as n_lines, len(regexp_extract_all(t, '!!')) as n_bangs,
     len(list_filter(w, lambda a: lower(a) in ({stop}))) as n_stop_words,
+    len(list_filter(generate_series(2, len(w)), lambda i: w[i] = w[i - 1])) as n_stutters,
     len(list_filter(x, lambda a: regexp_matches(a, '(\.\.\.|…){_S}*\z'))) as n_ellipsis_lines,
     len(list_filter(x, lambda a: regexp_matches(a, '^{_S}*[-•*]{_S}'))) as n_bullet_lines
   from d left join c using (rid)),
@@ -144,7 +145,8 @@ from d left join n using (rid)
 _OP6 = rf"""
 with d as (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents),
 l as (select rid, doc_id, i, x[i] as line from (select rid, doc_id, x, unnest(generate_series(1, len(x))) as i from d)),
-s as (select rid, doc_id, i, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line, row_number() over (partition by rid order by i) as o from l where regexp_matches(line, '[^ 	-]')),
+s as (select rid, doc_id, i, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line, row_number() over (partition by rid order by i) as o from l where regexp_matches(line, '[^ 	-
+]')),
 w as (select rid, doc_id, o, list(line) over (partition by rid order by o rows between current row and {WINDOW - 1} following) as g from s),
 r as (select rid, o from (select rid, o, row_number() over (partition by g order by doc_id, o) as k from w where len(g) = {WINDOW}) where k > 1),
 p as (select distinct rid, unnest(generate_series(o, o + {WINDOW - 1})) as o from r),
