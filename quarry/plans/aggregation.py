@@ -245,3 +245,10 @@ def win_session_batch(spark, d):
     from quarry.streaming.windows import session
 
     return session(t(spark, d, "events"), "ts", "1 hour", ["user_id"], [F.count("*").alias("n")]).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("select l_returnflag, quantile_disc(l_extendedprice, 0.99) as q from lineitem group by 1")
+def agg_quantile_large_groups(spark, d):
+    from quarry.operators.quantiles import exact_quantile
+
+    return exact_quantile(t(spark, d, "lineitem"), ["l_returnflag"], F.col("l_extendedprice"), 0.99, interpolate=False)

@@ -155,3 +155,20 @@ def test_streaming_windows(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, spark.table("days").collect())) == sorted(map(tuple, want.collect()))
     assert W.distinct_within(batch, "ts", ["user_id"], "1 day").count() == batch.select("user_id").distinct().count()
     assert W.session(batch, "ts", "1 hour", ["user_id"], [F.count("*").alias("n")]).agg(F.sum("n")).first()[0] == batch.count()
+
+
+@pytest.mark.parametrize("accuracy", [10, 20_000])
+def test_exact_quantiles_of_large_groups(spark, accuracy):
+    import numpy as np
+
+    from quarry.operators.quantiles import exact_quantile
+
+    rng = np.random.default_rng(0)
+    rows = [(None if g == 2 else g, float(x) if rng.random() > 0.1 else None) for g, n in ((0, 700), (1, 3), (2, 50)) for x in rng.integers(0, 300, n)]
+    t = spark.createDataFrame(rows, "g int, x double")
+    for p in (0.0, 0.9):
+        want = {r.g: (r.a, r.b) for r in t.groupBy("g").agg(F.percentile("x", F.lit(p)).alias("a"), A.quantile_exact("x", p).alias("b")).collect()}
+        for i, interpolate in enumerate((True, False)):
+            found = exact_quantile(t, ["g"], F.col("x"), p, "q", interpolate, accuracy).collect()
+            assert {r.g: round(r.q, 9) for r in found} == {g: round(v[i], 9) for g, v in want.items()}, (p, interpolate)
+    assert exact_quantile(t, [], F.col("x"), 0.5).first().q == t.agg(F.percentile("x", F.lit(0.5))).first()[0]
