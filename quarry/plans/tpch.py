@@ -18,9 +18,9 @@ def tpch_q1(spark, d):
     return t(spark, d, "lineitem").filter(F.col("l_shipdate") <= day("1998-09-02")).groupBy("l_returnflag", "l_linestatus").agg(_total(money("l_quantity"), "sum_qty"), _total(revenue(), "revenue"), F.count("*").alias("n"))
 
 
-def _bridge(spark, d):
-    """Which supplier sells which part, at the lowest line price."""
-    return t(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).agg(F.min("l_extendedprice").alias("ps_cost"), F.sum(money("l_quantity")).alias("ps_qty"))
+def _bridge(lines):
+    """Which supplier sells which part, at the lowest line price, of lines that are already cut to what is asked for."""
+    return lines.groupBy(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).agg(F.min("l_extendedprice").alias("ps_cost"), F.sum(money("l_quantity")).alias("ps_qty"))
 
 
 _BRIDGE = "select l_partkey as ps_partkey, l_suppkey as ps_suppkey, min(l_extendedprice) as ps_cost, sum(cast(l_quantity as decimal(12,2))) as ps_qty from lineitem group by 1, 2"
@@ -30,8 +30,10 @@ _BRIDGE = "select l_partkey as ps_partkey, l_suppkey as ps_suppkey, min(l_extend
 select p_partkey, s_name, n_name from part join e on ps_partkey = p_partkey where p_size = 15 and ps_cost = (select min(f.ps_cost) from e f where f.ps_partkey = p_partkey)""")
 def tpch_q2(spark, d):
     places = t(spark, d, "nation").join(t(spark, d, "region").filter("r_name = 'EUROPE'"), F.col("n_regionkey") == F.col("r_regionkey"))
-    sellers = t(spark, d, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"))
-    offers = _bridge(spark, d).join(sellers, F.col("ps_suppkey") == F.col("s_suppkey")).join(t(spark, d, "part").filter("p_size = 15"), F.col("ps_partkey") == F.col("p_partkey"))
+    sellers = t(spark, d, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_name", "n_name")
+    parts = t(spark, d, "part").filter("p_size = 15").select("p_partkey")
+    lines = t(spark, d, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left_semi").join(sellers.select("s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+    offers = _bridge(lines).join(sellers, F.col("ps_suppkey") == F.col("s_suppkey")).withColumnRenamed("ps_partkey", "p_partkey")
     least = offers.groupBy("p_partkey").agg(F.min("ps_cost").alias("m"))
     return offers.join(least, "p_partkey").filter("ps_cost = m").select("p_partkey", "s_name", "n_name")
 
@@ -123,7 +125,7 @@ def tpch_q10(spark, d):
 @query(f"""with g as (select ps_partkey, sum(cast(ps_cost as decimal(12,2)) * ps_qty) as v from ({_BRIDGE}) ps join supplier on s_suppkey = ps_suppkey where s_nationkey = 7 group by 1)
 select ps_partkey, cast(v as double) as v from g where cast(v as double) > (select cast(sum(v) as double) * 0.001 from g)""")
 def tpch_q11(spark, d):
-    own = _bridge(spark, d).join(t(spark, d, "supplier").filter("s_nationkey = 7"), F.col("ps_suppkey") == F.col("s_suppkey"), "left_semi")
+    own = _bridge(t(spark, d, "lineitem").join(t(spark, d, "supplier").filter("s_nationkey = 7"), F.col("l_suppkey") == F.col("s_suppkey"), "left_semi"))
     value = own.groupBy("ps_partkey").agg(_total(money("ps_cost") * F.col("ps_qty"), "v"))
     total = own.agg((F.sum(money("ps_cost") * F.col("ps_qty")).cast("double") * 0.001).alias("m"))
     return value.filter(F.col("v") > total.scalar())
@@ -165,9 +167,8 @@ def tpch_q15(spark, d):
 and ps_suppkey not in (select s_suppkey from supplier where s_acctbal < 0) group by 1, 2, 3""")
 def tpch_q16(spark, d):
     parts = t(spark, d, "part").filter((F.col("p_brand") != "Brand#5") & ~F.col("p_type").like("PROMO%") & F.col("p_size").isin(49, 14, 23, 45))
-    pairs = t(spark, d, "lineitem").select(F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")).distinct()
-    good = pairs.join(t(spark, d, "supplier").filter("s_acctbal < 0"), F.col("ps_suppkey") == F.col("s_suppkey"), "left_anti")
-    return good.join(parts, F.col("ps_partkey") == F.col("p_partkey")).groupBy("p_brand", "p_type", "p_size").agg(F.count_distinct("ps_suppkey").alias("n"))
+    good = t(spark, d, "lineitem").join(t(spark, d, "supplier").filter("s_acctbal < 0"), F.col("l_suppkey") == F.col("s_suppkey"), "left_anti")
+    return good.join(parts, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand", "p_type", "p_size").agg(F.count_distinct("l_suppkey").alias("n"))
 
 
 @query("""select cast(sum(cast(l_extendedprice as decimal(12,2))) as double) / 7.0 as yearly from lineitem join part on p_partkey = l_partkey where p_brand = 'Brand#23'
