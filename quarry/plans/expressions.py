@@ -86,6 +86,11 @@ _select("fn_array_position", "part", "p_partkey", f"cast(list_position({_ITEMS},
 _select("fn_array_count_equal", "part", "p_partkey", f"cast(len(list_filter({_ITEMS}, lambda x: x = 7)) as int) as n, list_contains({_ITEMS}, 3) as h", n=lambda: S.count_equal(_items(), F.lit(7)), h=lambda: S.any_of(F.lit(3), _items()))
 _select("fn_row", "nation", "n_nationkey", "row(n_name, n_regionkey) = row('NATION_1', 1) as e", e=lambda: F.struct(F.col("n_name").alias("a"), F.col("n_regionkey").alias("b")) == F.struct(F.lit("NATION_1").alias("a"), F.lit(1).alias("b")))
 
+@query("select n_nationkey, unnest([n_regionkey, n_nationkey]) as x from nation")
+def fn_unnest(spark, d):
+    return t(spark, d, "nation").select("n_nationkey", F.explode(F.array("n_regionkey", "n_nationkey")).alias("x"))
+
+
 # maps
 
 

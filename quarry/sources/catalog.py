@@ -60,11 +60,53 @@ class Catalog:
         self.tables: dict[str, Table] = {}
         self.dictionaries: dict[str, Dictionary] = {}
         self.session = S.Session()
+        self._clients: dict[tuple[str, str], object] = {}
 
     def create_server(self, name: str, **options: str) -> Server:
         self.servers[name] = Server(name, options)
         return self.servers[name]
 
+    def alter_server(self, name: str, user: str | None = None, **options: str) -> None:
+        """Change a server's options, or with user a user's; clients made before are forgotten."""
+        server = self.servers[name]
+        if user is None:
+            server.options |= S.validated(options, S.SERVER_KEYS, "server")
+        else:
+            server.users[user] = server.users.get(user, {}) | S.validated(options, S.USER_KEYS, "user mapping")
+        for key in [k for k in self._clients if k[0] == name]:
+            del self._clients[key]
+
+    def _remote_options(self, server: str, user: str) -> dict[str, str]:
+        s = self.servers[server]
+        scheme = "https" if s.options["port"] in ("8443", "443") else "http"
+        mapping = s.users.get(user, {})
+        settings = ", ".join(f"{k} '{v}'" for k, v in self.session.values.items())
+        return {"url": f"{scheme}://{s.options['host']}:{s.options['port']}/", "settings": settings} | {k: v for k, v in mapping.items()}
+
+    def connect(self, server: str, user: str = "default"):
+        """The client of a server and user, made once until either changes."""
+        from quarry.sources.http import Client
+
+        if (server, user) not in self._clients:
+            self._clients[server, user] = Client(self._remote_options(server, user))
+        return self._clients[server, user]
+
+    def remote_table(self, server: str, table: str, columns: list[tuple[str, str]] | T.StructType, user: str = "default", query: str | None = None) -> DataFrame:
+        """A table, or a query, that a server answers over HTTP; the settings of the session go with it."""
+        from quarry.sources.http import HttpSql
+
+        self.spark.dataSource.register(HttpSql)
+        schema = columns if isinstance(columns, T.StructType) else schema_of(columns)
+        nullable = T.StructType([T.StructField(c.name, c.dataType, True) for c in schema])
+        return self.spark.read.format("http_sql").schema(nullable).options(table=table, **self._remote_options(server, user), **({"query": query} if query else {})).load()
+
+    def remote_insert(self, df: DataFrame, server: str, table: str, user: str = "default") -> None:
+        """Append rows to a table of a server."""
+        from quarry.sources.http import HttpSql
+
+        self.spark.dataSource.register(HttpSql)
+        df.write.format("http_sql").options(table=table, **self._remote_options(server, user)).mode("append").save()
+
     def create_table(self, name: str, path: str, columns: list[tuple[str, str]] | T.StructType, column_name: dict[str, str] | None = None, **options: str) -> DataFrame:
         """A table of Parquet files. columns: names and type texts, or a schema; column_name: what files call a column."""
         schema = columns if isinstance(columns, T.StructType) else schema_of(columns)

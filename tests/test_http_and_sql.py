@@ -66,6 +66,27 @@ def test_inserts(spark, server):
     assert seen[-1][0]["query"] == "INSERT INTO t (i, s, n, b, a) FORMAT TSV" and seen[-1][1] == "1\tx\\ty\t\\N\t1\t['p','q']\n"
 
 
+def test_servers_of_the_catalog(spark, server):
+    from quarry.sources.catalog import Catalog
+
+    url, seen = server
+    host, port = url.removeprefix("http://").rstrip("/").split(":")
+    c = Catalog(spark)
+    c.create_server("s", host=host, port=port).user_mapping("default", user="me", password="secret")
+    client = c.connect("s")
+    assert c.connect("s") is client
+    c.session.set("max_rows '5'")
+    found = c.remote_table("s", "t", [("i", "Int32"), ("s", "String"), ("n", "Nullable(Float64)"), ("t", "DateTime"), ("a", "Array(Int32)")])
+    assert found.select("s").first().s == "a\tb"
+    assert seen[-1][1] == "select i, s, n, t, a from t" and seen[-1][0]["max_rows"] == "5" and seen[-1][2] == "me"
+    c.remote_insert(spark.sql("select 1 as i").coalesce(1), "s", "t")
+    assert seen[-1][0]["query"] == "INSERT INTO t (i) FORMAT TSV"
+    c.alter_server("s", host="localhost")
+    assert c.connect("s") is not client and "localhost" in c.connect("s").options["url"]
+    with pytest.raises(ValueError, match="user mapping"):
+        c.alter_server("s", user="default", nope="x")
+
+
 def test_retries_then_gives_up():
     client = http.Client({"url": "http://127.0.0.1:9/"})
     with pytest.raises(OSError):
