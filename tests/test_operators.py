@@ -172,3 +172,12 @@ def test_exact_quantiles_of_large_groups(spark, accuracy):
             found = exact_quantile(t, ["g"], F.col("x"), p, "q", interpolate, accuracy).collect()
             assert {r.g: round(r.q, 9) for r in found} == {g: round(v[i], 9) for g, v in want.items()}, (p, interpolate)
     assert exact_quantile(t, [], F.col("x"), 0.5).first().q == t.agg(F.percentile("x", F.lit(0.5))).first()[0]
+
+
+def test_sketches_stay_within_their_errors(spark):
+    t = spark.range(200_000).select((F.col("id") % 50_000).alias("x"))
+    n, c, c64, h, th, q = t.agg(A.uniq(F.col("x")), A.uniq_combined(F.col("x")), A.uniq_combined64(F.col("x")), A.uniq_hll12(F.col("x")), A.uniq_theta(F.col("x")), A.quantile_approx(F.col("x"), 0.3)).first()
+    for found, error in ((n, 0.04), (c, 0.03), (c64, 0.01), (h, 0.08), (th, 0.08), (q / 0.3, 0.001)):
+        assert abs(found - 50_000) <= error * 50_000
+    states = t.groupBy((F.col("x") % 7).alias("k")).agg(*A.state("quantile", "s", F.col("x")))
+    assert abs(states.agg(A.merge("quantile", "s", 0.9)).first()[0] - 45_000) <= 0.03 * 50_000
