@@ -29,8 +29,8 @@ CAPACITY = 1024
 SEPARATOR = 2
 #: Steps of one search for a filling; the incumbent stands when they are used up.
 STEPS = 3000
-#: Sub-keys by which items of one size are ranked: no task gets more than a share of a frequent size.
-RANKS = 256
+#: Sub-keys by which items of one size are ranked, least and most, and items for each: no task gets more than a share of a frequent size.
+RANKS, RANKED = (64, 4096), 2_000_000
 
 Filling = tuple[tuple[int, int], ...]
 
@@ -54,8 +54,24 @@ def _encoder(path: str):
     return tiktoken.Encoding("quarry", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+@lru_cache(maxsize=2)
+def _library(path: str):
+    """The file's own library: slower, for texts that the encoder's pattern cannot split (runs of a million blanks)."""
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    own.no_truncation()
+    own.no_padding()
+    return own
+
+
 def token_ids(text: str | None, path: str) -> np.ndarray:
-    return np.asarray(_encoder(path).encode_to_numpy(text, allowed_special="all"), "<u4") if text else np.empty(0, "<u4")
+    if not text:
+        return np.empty(0, "<u4")
+    try:
+        return np.asarray(_encoder(path).encode_to_numpy(text, allowed_special="all"), "<u4")
+    except ValueError:
+        return np.array(_library(path).encode(text, add_special_tokens=False).ids, "<u4")
 
 
 def cut_points(n: int, capacity: int = CAPACITY) -> list[int]:
@@ -192,11 +208,12 @@ def best_fit_pack(items: DataFrame, size_col: str = "length", capacity: int = CA
     """
     items = items.drop("sequence_id", "offset")
     salt_, rank_ = fresh("_salt", items.columns), fresh("_rank", items.columns)
+    ranks = min(RANKS[1], max(RANKS[0], items.count() // RANKED))
     ranked_by = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in salt_by]
-    salted = items.withColumn(salt_, F.pmod(F.xxhash64(*ranked_by), F.lit(RANKS)).cast("int"))
-    # at most capacity * RANKS small rows, however many items
+    salted = items.withColumn(salt_, F.pmod(F.xxhash64(*ranked_by), F.lit(ranks)).cast("int"))
+    # at most capacity * ranks small rows, however many items
     by = salted.groupBy(F.col(size_col).cast("int").alias("s"), F.col(salt_).alias("salt")).agg(F.count("*").alias("n")).toArrow()
-    n = np.zeros((capacity + 1, RANKS), np.int64)
+    n = np.zeros((capacity + 1, ranks), np.int64)
     n[by["s"].to_numpy(), by["salt"].to_numpy()] = by["n"].to_numpy()
     before = np.cumsum(n, axis=1) - n
     table = places(pack_counts(n.sum(axis=1).tolist(), capacity), capacity)

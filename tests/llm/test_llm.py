@@ -287,6 +287,12 @@ def test_token_pieces_and_packing(spark, awkward):
     check_places(packed.collect())
 
 
+def test_texts_that_the_encoder_cannot_split():
+    path = tokenizer_path("byte_bpe_50k.json")
+    for text in (" " * 2_000_000 + "x", "\n \n" * 400_000 + "a", "y" * 300_000):
+        assert (packing.token_ids(text, path) == packing._library(path).encode(text, add_special_tokens=False).ids).all()
+
+
 def check_places(rows, capacity=1024):
     by = defaultdict(list)
     for r in rows:
