@@ -5,8 +5,8 @@ sets that are similar enough share an n-gram within their prefixes, and n-grams
 index. Two relations between sets save most of the rest. Index lists are read in blocks: the members that
 share a list's first set as an answer are one block, and a list whose members are all one block is skipped as a
 whole. Answers are derived from a similar set's: a member is compared with its list's first set, and only
-members of lists that are then left with several classes are compared with one another, where sizes and
-positions in the order allow. So no pair within a class of near copies is made, and no link between
+members of lists that are then left with several classes are compared with one another, where sizes,
+positions in the order and signatures allow. So no pair within a class of near copies is made, and no link between
 classes is lost.
 """
 
@@ -24,6 +24,8 @@ from quarry.llm.common import materialise, with_group
 WIDTH = 5
 #: Similarity in percent.
 THRESHOLD = 80
+#: Bits of a set's parity signature: two signatures differ in at most as many bits as the sets in elements.
+BITS = 1024
 
 
 def shingle_sets(texts: pa.Array | pa.ChunkedArray, width: int = WIDTH) -> list[np.ndarray]:
@@ -51,10 +53,16 @@ def required(n, threshold: int = THRESHOLD):
     return -(-threshold * n // 100)
 
 
+def signature(values: np.ndarray) -> np.ndarray:
+    """The parity of how many elements fall on each bit, as 64-bit numbers."""
+    odd = np.bincount((values & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view("<i8")
+
+
 def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, n, text, tokens, places): each document's set size, and the n-grams of its prefix that another document has.
+    """(rid, doc_id, n, text, tokens, places, bits): each document's set size, and the n-grams of its prefix that another document has.
 
-    rid numbers the rows; text is null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
+    rid numbers the rows; text and bits, the set's signature, are null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
     """
     groups, buckets = G.layout(docs, text_col)
     taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -84,7 +92,7 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
         sets = shingle_sets(t["text"], width)
         value = np.unique(np.concatenate(sets))
         rare = np.frombuffer(b"".join(r[2] for r in G.by_bucket(answers)), np.uint8)
-        tokens, places = [], []
+        tokens, places, bits = [], [], []
         for own in sets:
             n, kind = len(own), rare[np.searchsorted(value, own)]
             order = np.argsort(kind, kind="stable")[: n - required(n, threshold) + 1 if n else 0]
@@ -92,16 +100,17 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
             at = np.flatnonzero(order_kind)
             tokens.append(own[order[at]].tobytes() if len(at) else None)
             places.append(at.astype(np.uint32).tobytes() if len(at) else None)
+            bits.append(signature(own) if len(at) else None)
         kept = pa.array([x is not None for x in tokens])
         return pa.table({
             "rid": pa.array((grp << 32) + np.arange(t.num_rows)), "doc_id": t["doc_id"], "n": pa.array([len(x) for x in sets], pa.int64()),
-            "text": pc.if_else(kept, t["text"], pa.scalar(None, t.schema.field("text").type)), "tokens": pa.array(tokens, pa.binary()), "places": pa.array(places, pa.binary()),
+            "text": pc.if_else(kept, t["text"], pa.scalar(None, t.schema.field("text").type)), "tokens": pa.array(tokens, pa.binary()), "places": pa.array(places, pa.binary()), "bits": pa.array(bits, pa.list_(pa.int64())),
         })
 
     own = dealt.groupBy("_grp")
     counted = own.applyInArrow(count, G.MESSAGE).groupBy("bucket").applyInArrow(add, G.MESSAGE)
     kind = taken.schema["doc_id"].dataType.simpleString()
-    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, n bigint, text string, tokens binary, places binary")
+    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, n bigint, text string, tokens binary, places binary, bits array<bigint>")
 
 
 def _entries(found: DataFrame) -> DataFrame:
@@ -184,11 +193,14 @@ def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     # lists that are left with several classes, compared by members of different classes
     named = entries.join(classes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     whole = with_group(named, ["token"], F.col("rid"), {"_lo": F.min("root"), "_hi": F.max("root")}, {"lo": F.min("_lo"), "hi": F.max("_hi")})
-    split = materialise(whole.filter("lo <> hi").select("token", "rid", "n", "place", "root"))
+    several = whole.filter("lo <> hi").select("token", "rid", "n", "place", "root")
+    split = materialise(several.join(found.filter("bits is not null").select("rid", "bits"), "rid"))
     x, y = split.alias("x"), split.alias("y")
     small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
     room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # from their first common n-gram on
-    allowed = (small * 100 >= large * threshold) & (room * (100 + threshold) >= (F.col("x.n") + F.col("y.n")) * threshold)
+    total = F.col("x.n") + F.col("y.n")
+    apart = sum((F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    allowed = (small * 100 >= large * threshold) & (room * (100 + threshold) >= total * threshold) & ((total - apart) * (100 + threshold) >= 2 * total * threshold)
     across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & allowed)
     more = across.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
     known = answers.select("a", "b").unionAll(answers.selectExpr("b as a", "a as b"))

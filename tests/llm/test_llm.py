@@ -31,8 +31,10 @@ def frame(spark, rows):
 @pytest.fixture
 def small_groups(monkeypatch):
     """Many groups and buckets, also for little text."""
-    monkeypatch.setattr(grams, "GROUP_BYTES", (2000, 2000))
+    monkeypatch.setattr(grams, "GROUP_BYTES", 2000)
     monkeypatch.setattr(grams, "BUCKET_BYTES", 3000)
+    monkeypatch.setattr(grams, "MEMORY_SHARE", 1 << 60)
+    monkeypatch.setattr(grams, "LEAST_MOST", 2000)
 
 
 def passage(name, n):
@@ -555,3 +557,13 @@ def test_native_operators_run_no_python(spark, sf_dir):
 
     for name in ("op2_url_filters", "op3_exact_dedup", "op6_line_dedup", "op8_quality_rules"):
         assert not report(QUERIES[name](spark, sf_dir)).python
+
+
+def test_signatures_bound_the_difference():
+    from quarry.llm.ngram_join import signature
+
+    rng = np.random.default_rng(0)
+    for n in (1, 30, 600):
+        a, b = (set(rng.integers(0, 3 * n, n).tolist()) for _ in range(2))
+        x, y = (signature(np.array(sorted(s), np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for s in (a, b))
+        assert sum(bin(int(i) & (1 << 64) - 1).count("1") for i in x ^ y) <= len(a ^ b)
