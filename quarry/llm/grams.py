@@ -13,13 +13,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Text bytes of a group: least, and most by default. Larger executors may take larger groups.
-GROUP_BYTES = (4 << 20, 32 << 20)
-#: Text bytes of the corpus for each bucket.
-BUCKET_BYTES = 8 << 20
+#: Least text bytes of a group, and of the corpus for each bucket.
+GROUP_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20
+#: Both grow with the root of the corpus, so that messages keep their length; a task's share of an executor's
+#: memory over MEMORY_SHARE bounds a group, over four times that a bucket.
+MEMORY_SHARE = 24
+#: The bound of a group is never less.
+LEAST_MOST = 32 << 20
+#: Sampled ids at most, from which ranges of ids are cut.
+SAMPLE = 2_000_000
 #: Text bytes that are taken apart at a time.
 _SLICE = 2 << 20
 _U = np.uint64
@@ -168,11 +173,22 @@ def long(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(4, -1).T).view(">u4").ravel().astype(np.uint32)
 
 
+def _task_bytes(spark: SparkSession) -> int:
+    """The share of an executor's memory that a task has."""
+    conf = spark.sparkContext.getConf()
+    text = conf.get("spark.executor.memory", "1g").strip().lower().removesuffix("b")
+    unit = {"k": 10, "m": 20, "g": 30, "t": 40}.get(text[-1:])
+    size = int(float(text[:-1] if unit else text) * (1 << (unit or 20)))
+    return size // max(1, int(conf.get("spark.executor.cores", "2")))
+
+
 def layout(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
-    """(groups, buckets) for the bytes there are. Groups grow with the root of the corpus, up to their bound."""
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    size = min(max((total * 65536) ** 0.5, GROUP_BYTES[0]), GROUP_BYTES[1])
-    return max(1, int(-(-total // size))), max(1, -(-total // BUCKET_BYTES))
+    """(groups, buckets) for the bytes there are."""
+    total = int(docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)
+    most = max(_task_bytes(docs.sparkSession) // MEMORY_SHARE, LEAST_MOST)
+    group = max(GROUP_BYTES, min(int((total << 16) ** 0.5), most))
+    bucket = max(BUCKET_BYTES, min(int((total << 12) ** 0.5), most // 4))
+    return max(1, -(-total // group)), max(1, -(-total // bucket))
 
 
 def range_of(value: Column, bounds: list[int]) -> Column:
@@ -190,12 +206,12 @@ def range_of(value: Column, bounds: list[int]) -> Column:
 
 
 def ranges(docs: DataFrame, groups: int, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
-    """Ids that cut the documents into about `groups` ranges of like bytes, from a sample of some 30 rows a range (it moves bounds, not results)."""
+    """Ids that cut the documents into about `groups` ranges of like bytes, from a sample of some 30 rows a range, SAMPLE at most (it moves bounds, not results)."""
     if groups == 1:
         return []
     n = docs.count()
     some = docs.select(F.col(id_col).cast("bigint").alias("i"), F.coalesce(F.octet_length(text_col), F.lit(0)).alias("b")).filter("i is not null")
-    rows = some.sample(min(1.0, 30.0 * groups / max(n, 1)), seed=1).toArrow()
+    rows = some.sample(min(1.0, min(30.0 * groups, SAMPLE) / max(n, 1)), seed=1).toArrow()
     ids, size = rows["i"].to_numpy(), rows["b"].to_numpy() + 1.0
     order = np.argsort(ids, kind="stable")
     mass = np.cumsum(size[order])
