@@ -27,12 +27,21 @@ def date_trunc(unit: str, ts: Column) -> Column:
     """Start of the unit that holds ts, without a zone; weeks begin on Monday."""
     if unit.lower() not in UNITS:
         raise ValueError(f"date_trunc knows {', '.join(UNITS)}, not {unit!r}")
-    return F.date_trunc(unit.lower(), ts).cast("timestamp_ntz")
+    unit, date = unit.lower(), ts.cast("date")
+    if unit in UNITS[:3]:  # of the wall time itself: the built-in would go through the session's zone
+        parts = [F.hour(ts), F.minute(ts), F.second(ts)][: 3 - UNITS.index(unit)]
+        return date.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), *parts)
+    return (date if unit == "day" else F.trunc(date, unit)).cast("timestamp_ntz")
+
+
+def epoch(ts: Column) -> Column:
+    """Whole seconds since 1970, of a wall time read as UTC, whatever the session's zone."""
+    return F.unix_date(ts.cast("date")).cast("bigint") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 _PARTS = {
     "day": F.dayofmonth, "doy": F.dayofyear, "month": F.month, "year": F.year, "hour": F.hour, "minute": F.minute, "quarter": F.quarter, "second": F.second, "week": F.weekofyear,
-    "dow": lambda c: F.dayofweek(c) - 1, "isodow": lambda c: F.weekday(c) + 1, "isoyear": lambda c: F.extract(F.lit("yearofweek"), c), "epoch": F.unix_timestamp,
+    "dow": lambda c: F.dayofweek(c) - 1, "isodow": lambda c: F.weekday(c) + 1, "isoyear": lambda c: F.extract(F.lit("yearofweek"), c), "epoch": epoch,
 }
 
 
@@ -59,7 +68,7 @@ def add_interval(ts: Column, months: int = 0, days: int = 0, seconds: float = 0)
 
 def day_diff(a: Column, b: Column) -> Column:
     """Whole days of 86,400 seconds from a to b, towards zero."""
-    seconds = F.unix_timestamp(b) - F.unix_timestamp(a)
+    seconds = epoch(b) - epoch(a)
     return F.floor(F.abs(seconds) / 86400) * F.signum(seconds).cast("bigint")
 
 

@@ -1,6 +1,7 @@
 """Windows over time that run alike over batches and streams.
 
-Streams need a watermark on a zoned timestamp; event times without a zone are read as UTC.
+Streams need a watermark on a zoned timestamp: there, event times without a zone are read in the session's.
+Batches keep them as they are.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from pyspark.sql.types import StructType
 
 
 def event_time(df: DataFrame, ts: str, lateness: str | None = None) -> DataFrame:
-    """df with ts as a zoned timestamp and, in a stream, a watermark that lets rows be `lateness` late."""
+    """A stream with ts as a zoned timestamp and a watermark that lets rows be `lateness` late; a batch as it is."""
+    if not df.isStreaming:
+        return df
     df = df.withColumn(ts, F.col(ts).cast("timestamp"))
-    return df.withWatermark(ts, lateness) if lateness and df.isStreaming else df
+    return df.withWatermark(ts, lateness) if lateness else df
 
 
 def _windowed(df: DataFrame, window: Column, keys: list[str], aggregates: list[Column]) -> DataFrame:

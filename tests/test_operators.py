@@ -92,6 +92,18 @@ def test_dates(spark):
     assert value(spark, S.day_diff(day, F.lit("2020-01-29 12:00:00").cast("timestamp_ntz"))) == -1
 
 
+def test_wall_times_do_not_follow_the_session(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ts = F.lit("2024-03-10 02:30:00.5").cast("timestamp_ntz")
+        assert value(spark, S.date_part("epoch", ts)) == 1710037800
+        assert value(spark, S.date_part("epoch", F.lit("1969-12-31 23:59:59.5").cast("timestamp_ntz"))) == -1
+        assert value(spark, S.date_trunc("hour", ts)) == dt.datetime(2024, 3, 10, 2)
+        assert value(spark, S.day_diff(F.lit("2024-03-09 12:00:00").cast("timestamp_ntz"), F.lit("2024-03-10 12:00:00").cast("timestamp_ntz"))) == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_numbers_arrays_and_casts(spark):
     items, lit = F.array(F.lit(3), F.lit(5), F.lit(3)), F.lit
     for column, want in [
@@ -152,7 +164,8 @@ def test_streaming_windows(spark, sf_dir, tmp_path):
     query = counted.writeStream.format("memory").queryName("days").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     want = W.tumbling(batch, "ts", "1 day", ["event_type"], [F.count("*").alias("n")])
-    assert sorted(map(tuple, spark.table("days").collect())) == sorted(map(tuple, want.collect()))
+    found = spark.table("days").select(*[F.col(c).cast("timestamp_ntz") for c in ("start", "end")], "event_type", "n")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
     assert W.distinct_within(batch, "ts", ["user_id"], "1 day").count() == batch.select("user_id").distinct().count()
     assert W.session(batch, "ts", "1 hour", ["user_id"], [F.count("*").alias("n")]).agg(F.sum("n")).first()[0] == batch.count()
 
