@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 #: Least text bytes of a group, and of the corpus for each bucket.
 GROUP_BYTES, BUCKET_BYTES = 4 << 20, 1 << 20
 #: Both grow with the root of the corpus, so that messages keep their length; a task's share of an executor's
-#: memory over MEMORY_SHARE bounds a group, over four times that a bucket.
-MEMORY_SHARE = 24
+#: memory over MEMORY_SHARE bounds a group (Python needs some 16 times its bytes), over four times that a bucket.
+MEMORY_SHARE = 64
 #: The bound of a group is never less.
-LEAST_MOST = 32 << 20
+LEAST_MOST = 12 << 20
 #: Sampled ids at most, from which ranges of ids are cut.
 SAMPLE = 2_000_000
 #: Text bytes that are taken apart at a time.
