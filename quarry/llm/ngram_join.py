@@ -153,19 +153,20 @@ def _compared(pairs: DataFrame, found: DataFrame, width: int, threshold: int) ->
     return near.select("a", "b", "a_text", "b_text").mapInArrow(run, "a bigint, b bigint, both bigint, either bigint")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every hi has one lo, and no lo is a hi: then each lo is the root of its component."""
+    n, centres = edges.agg(F.count("*"), F.count_distinct("hi")).first()
+    return n == centres and edges.join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of the edges (a, b); root is the smallest node that is reachable.
 
-    Alternating large and small stars; each round's edges are written, and rounds end when nothing changes.
+    Alternating large and small stars; each round's edges are written, and rounds end when all that is left are stars.
     Neighbourhoods are never gathered: each edge fetches its node's minimum over salted keys.
     """
     now = materialise(edges.filter("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
-    mark = None
-    while True:
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()
-        if seen == mark or not seen[0]:
-            break
-        mark = seen
+    while not _stars(now):
         both = now.selectExpr("hi as u", "lo as v").unionAll(now.selectExpr("lo as u", "hi as v"))
         large = with_group(both, ["u"], F.col("v"), {"m": F.min("v")}, {"m": F.min("m")}).filter("v > u").select(F.least("u", "m").alias("v"), F.col("v").alias("u")).distinct()
         small = with_group(large, ["u"], F.col("v"), {"m": F.min("v")}, {"m": F.min("m")})
