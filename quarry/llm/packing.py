@@ -1,19 +1,20 @@
 """Best-fit packing of token sequences by bin completion.
 
 Sizes are whole numbers up to the capacity, so all that a packing depends on is how many items there are of
-each size: at most `capacity` numbers, whatever the corpus. On these counts the driver runs bin completion:
-take the largest size that is left, search its undominated fillings by branch and bound on waste (a filling
-that leaves more room than the best so far is cut; the best-fit filling, largest first, is the incumbent),
-and give the filling to as many bins as the counts allow. The result is a list of fillings with how often
-each is used. Items then find their places by arithmetic on their rank among the items of their size.
+each size: at most `capacity` numbers, whatever the corpus. On these counts the driver runs bin completion: from
+the plan of best fit decreasing, it takes the largest size that is left, branches over the undominated fillings
+beside it and over how often each is used, cuts what a lower bound shows to be no better than the best plan, and
+goes back. The result is a list of fillings with how often each is used. Items then find their places by
+arithmetic on their rank among the items of their size.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from quarry.llm.common import fresh, materialise
 CAPACITY = 1024
 #: Added after each document.
 SEPARATOR = 2
-#: Steps of one search for a filling; the incumbent stands when they are used up.
-STEPS = 3000
+#: Steps of the search, over nodes and over items put into fillings; the best plan so far stands when they are used up.
+STEPS = 60_000
 #: Sub-keys by which items of one size are ranked, least and most, and items for each: no task gets more than a share of a frequent size.
 RANKS, RANKED = (64, 4096), 2_000_000
 
@@ -109,79 +110,208 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator
     return taken.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
 
 
-def lower_bound(counts: list[int], capacity: int = CAPACITY) -> int:
+def lower_bound(counts: list[int] | np.ndarray, capacity: int = CAPACITY) -> int:
     """Bins that any packing needs (bound L2 of Martello and Toth): large items each open a bin, and some room beside them is lost."""
-    total = sum(s * c for s, c in enumerate(counts))
-    best = -(-total // capacity)
-    many, mass = list(accumulate(counts)), list(accumulate(s * c for s, c in enumerate(counts)))
-    for k in range(capacity // 2 + 1):  # items below k are left out
-        alone = many[capacity] - many[capacity - k] if k else 0
-        half = many[capacity - k] - many[capacity // 2]
-        room = half * capacity - (mass[capacity - k] - mass[capacity // 2])
-        small = mass[capacity // 2] - (mass[k - 1] if k else 0)
-        best = max(best, alone + half + max(0, -(-(small - room) // capacity)))
-    return best
-
-
-def best_filling(room: int, sizes: list[int], left: list[int], steps: int = STEPS) -> tuple[Filling, int]:
-    """The filling of `room` with least waste, fewest items first, and its waste. sizes: descending, left: how many of each.
-
-    A filling dominated by one with a larger item in place of several is never reached first: larger sizes are tried first.
+    counts = np.asarray(counts, np.int64)
+    many, mass = np.cumsum(counts), np.cumsum(counts * np.arange(capacity + 1))
+    k = np.arange(capacity // 2 + 1)  # items below k are left out
+    alone = many[capacity] - many[capacity - k]
+    half = many[capacity - k] - many[capacity // 2]
+    room = half * capacity - (mass[capacity - k] - mass[capacity // 2])
+    small = mass[capacity // 2] - mass[np.maximum(k - 1, 0)]
+    return int(max(-(-mass[capacity] // capacity), (alone + half + np.maximum(0, -(-(small - room) // capacity))).max()))
+
+
+def best_fit(counts: list[int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
+    """Best fit decreasing: each item, largest first, goes to the fullest bin that has room. Bins alike are handled together."""
+    open_: dict[int, list[tuple[Filling, int]]] = {capacity: [((), int(sum(counts)))]}
+    for s in range(capacity, 0, -1):
+        n = int(counts[s])
+        for room in sorted(r for r in open_ if r >= s):
+            # a bin that takes one is then the fullest with room, so it takes as many as fit
+            fits, bins = room // s, open_[room]
+            while n and bins:
+                filling, m = bins.pop()
+                full = min(m, n // fits)
+                rest = n % fits if full < m and n // fits == full else 0
+                if m - full - bool(rest):
+                    bins.append((filling, m - full - bool(rest)))
+                for k, times in ((fits, full), (rest, bool(rest))):
+                    if k and times:
+                        open_.setdefault(room - k * s, []).append(((*filling, (s, k)), int(times)))
+                        n -= k * times
+    return [(filling, m) for bins in open_.values() for filling, m in bins if filling]
+
+
+def _reach(room: int, sizes: list[int], left: list[int]) -> list[int]:
+    """For each position the sums up to room, as bits, that its size and the later ones make."""
+    reach, full = [1], (2 << room) - 1
+    for s, n in zip(reversed(sizes), reversed(left)):
+        bits, n, k = reach[-1], min(n, room // s), 1
+        while n > 0:
+            bits |= bits << s * min(k, n)
+            n, k = n - min(k, n), 2 * k
+        reach.append(bits & full)
+    return reach[::-1]
+
+
+def _dominated(filling: Filling, waste: int, sizes: list[int], left: list[int]) -> bool:
+    """Whether an item that is not in the filling could take the place of some (or none) of its items and lose no room."""
+    sums, several = 1, 0  # sums of any of the items, and of two or more
+    for s, k in filling:
+        for _ in range(k):
+            several |= (sums & ~1) << s | several << s
+            sums |= sums << s
+    better, width = sums << 1, 1  # up to `waste` above a sum
+    while width < waste:
+        step = min(width, waste - width)
+        better, width = better | better << step, width + step
+    better, used = several | (better if waste else 0), dict(filling)
+    return any(better >> s & 1 and n > used.get(s, 0) for s, n in zip(sizes, left))
+
+
+def fillings(room: int, sizes: list[int], left: list[int], steps: list[int]) -> Iterator[tuple[Filling, int]]:
+    """The undominated fillings of room, with their waste: least waste first, then larger sizes first.
+
+    sizes: descending, at most room; left: how many of each. steps[0] counts down, and the fillings end at 0.
     """
-    best: list = [room, ()]
-    budget = [steps]
-
-    def search(at: int, rest: int, taken: tuple[tuple[int, int], ...]) -> None:
-        if rest < best[0]:
-            best[0], best[1] = rest, taken
-        while at < len(sizes) and sizes[at] > rest:
-            at += 1
+    reach = _reach(room, sizes, left)
+
+    def exactly(at: int, rest: int, taken: Filling) -> Iterator[Filling]:
+        if rest == 0:
+            yield taken
+            return
         for i in range(at, len(sizes)):
-            if best[0] == 0 or budget[0] <= 0:
+            if not reach[i] >> rest & 1:
                 return
-            s, n = sizes[i], left[i]
-            if n <= 0:
+            s = sizes[i]
+            for k in range(min(left[i], rest // s), 0, -1):
+                if reach[i + 1] >> (rest - k * s) & 1:
+                    steps[0] -= 1
+                    if steps[0] < 0:
+                        return
+                    yield from exactly(i + 1, rest - k * s, (*taken, (s, k)))
+
+    for waste in range(room + 1):
+        if reach[0] >> (room - waste) & 1:
+            for filling in exactly(0, room - waste, ()):
+                if not _dominated(filling, waste, sizes, left):
+                    yield filling, waste
+        if steps[0] < 0:
+            return
+
+
+def _largest(left: np.ndarray, capacity: int) -> tuple[int, list[int], list[int]]:
+    """The largest size, and what can stand beside one of it: sizes, descending, and how many of each."""
+    size = int(np.flatnonzero(left)[-1])
+    sizes = np.flatnonzero(left[: min(size, capacity - size) + 1])[::-1]
+    many = left[sizes] - (sizes == size)
+    return size, sizes[many > 0].tolist(), many[many > 0].tolist()
+
+
+def _moves(left: np.ndarray, capacity: int, steps: list[int]) -> Iterator[tuple[Filling, int, int]]:
+    """(filling, times, waste) for the largest size: each undominated filling as often as the counts allow, then half as often, down to once.
+
+    Other numbers of times are made of these by later moves, so none is left out.
+    """
+    size, sizes, many = _largest(left, capacity)
+    for filling, waste in fillings(capacity - size, sizes, many, steps):
+        whole = dict(filling)
+        whole[size] = whole.get(size, 0) + 1
+        times = min(int(left[s]) // k for s, k in whole.items())
+        while times:
+            yield tuple(sorted(whole.items(), reverse=True)), times, waste
+            times //= 2
+
+
+def _taken(left: np.ndarray, filling: Filling, times: int) -> np.ndarray:
+    rest = left.copy()
+    for s, k in filling:
+        rest[s] -= k * times
+    return rest
+
+
+def complete(counts: list[int], best: list[tuple[Filling, int]], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[Filling, int]], bool]:
+    """The plan with fewest bins that branch and bound finds, starting from the plan `best`, and whether it is known to be optimal.
+
+    A node is what is left; its branches are the moves of its largest size. A branch is cut if its bins, with the lower
+    bound of what it leaves, are no fewer than the best plan's, or if the same was left before with as few bins. Rounds allow
+    0, 1, 2, 4 ... branches that are not a node's first on the way from the root, so that early choices are taken back as
+    well as late ones. The search ends when the bound is met, when a round was not held back, or after `steps` steps.
+    """
+    start = np.array(counts, np.int64)
+    fewest, budget, allowed = sum(n for _, n in best), [steps], 0
+    bound = lower_bound(start, capacity)
+    while fewest > bound:
+        held_back, seen = False, {}
+        path: list[tuple[Filling, int]] = []
+        # for each node on the path: its moves, what is left, bins so far, branches off the first so far, whether one was tried
+        stack = [[_moves(start, capacity, budget), start, 0, 0, False]]
+        while stack and budget[0] >= 0:
+            moves, left, used, off, tried = stack[-1]
+            if used + lower_bound(left, capacity) >= fewest:  # the best plan may have changed
+                move = None
+            elif tried and off == allowed:
+                move, held_back = None, True
+            else:
+                move = next(moves, None)
+            if move is None:
+                stack.pop()
+                if path:
+                    path.pop()
                 continue
+            stack[-1][4] = True
+            filling, times, _ = move
+            rest, bins, off = _taken(left, filling, times), used + times, off + tried
             budget[0] -= 1
-            # what this size and the smaller ones can fill at most bounds the waste
-            for k in range(min(n, rest // s), 0, -1):
-                search(i + 1, rest - k * s, (*taken, (s, k)))
-                if best[0] == 0 or budget[0] <= 0:
-                    return
-
-    search(0, room, ())
-    return best[1], best[0]
-
-
-def complete(counts: list[int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[Filling, int]]:
-    """Fillings and how often each is used."""
-    left = list(counts)
-    plan: list[tuple[Filling, int]] = []
-    for size in range(capacity, 0, -1):
-        while left[size] > 0:
-            left[size] -= 1
-            sizes = [s for s in range(min(size, capacity - size), 0, -1) if left[s] > 0]
-            filling, _ = best_filling(capacity - size, sizes, [left[s] for s in sizes], steps)
-            left[size] += 1
-            whole: dict[int, int] = dict(filling)
-            whole[size] = whole.get(size, 0) + 1
-            times = min(left[s] // k for s, k in whole.items())
-            for s, k in whole.items():
-                left[s] -= k * times
-            plan.append((tuple(sorted(whole.items(), reverse=True)), times))
+            if not rest.any():
+                if bins < fewest:
+                    best, fewest = [*path, (filling, times)], bins
+                continue
+            key = blake2b(rest.tobytes(), digest_size=16).digest()
+            if any(b <= bins and o <= off for b, o in seen.get(key, ())) or bins + lower_bound(rest, capacity) >= fewest:
+                continue
+            seen.setdefault(key, []).append((bins, off))
+            path.append((filling, times))
+            stack.append([_moves(rest, capacity, budget), rest, bins, off, False])
+        if budget[0] < 0:
+            return best, fewest <= bound
+        if not held_back:
+            return best, True
+        allowed = max(1, 2 * allowed)
+    return best, True
+
+
+def greedy(counts: list[int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
+    """Each node's first move, and never back: the second plan to start from."""
+    left, plan = np.array(counts, np.int64), []
+    while left.any():
+        size, sizes, many = _largest(left, capacity)
+        filling, _ = next(fillings(capacity - size, sizes, many, [STEPS]), (best_first(capacity - size, sizes, many), 0))
+        whole = dict(filling)
+        whole[size] = whole.get(size, 0) + 1
+        times = min(int(left[s]) // k for s, k in whole.items())
+        plan.append((tuple(sorted(whole.items(), reverse=True)), times))
+        left = _taken(left, plan[-1][0], times)
     return plan
 
 
+def best_first(room: int, sizes: list[int], left: list[int]) -> Filling:
+    """Larger sizes first, as many as fit."""
+    found = []
+    for s, n in zip(sizes, left):
+        if k := min(n, room // s):
+            found.append((s, k))
+            room -= k * s
+    return tuple(found)
+
+
 def pack_counts(counts: list[int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
-    """The best of the plans found: best fit alone (one step a search), then bin completion, unless the bound is met."""
-    bound, best = lower_bound(counts, capacity), None
-    for steps in (1, STEPS, 20 * STEPS):
-        plan = complete(counts, capacity, steps)
-        if best is None or sum(n for _, n in plan) < sum(n for _, n in best):
-            best = plan
-        if sum(n for _, n in best) <= bound:
-            break
-    return best or []
+    """Best fit decreasing, the greedy completion if that is better, and from the better one branch and bound, unless the bound is met."""
+    best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
+    if sum(n for _, n in best) > bound:
+        best = min(best, greedy(counts, capacity), key=lambda plan: sum(n for _, n in plan))
+    return complete(counts, best, capacity)[0]
 
 
 def places(plan: list[tuple[Filling, int]], capacity: int = CAPACITY) -> dict[int, tuple[np.ndarray, np.ndarray]]:

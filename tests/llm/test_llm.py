@@ -356,6 +356,57 @@ def test_plans_are_close_to_optimal():
     assert exact >= 57
 
 
+def test_plans_of_small_cases_are_optimal():
+    """Each case is searched to its end, from the plan of plain best fit decreasing."""
+    rng = np.random.default_rng(1)
+    for _ in range(150):
+        sizes = sorted(rng.integers(1, 20, rng.integers(1, 12)).tolist(), reverse=True)
+        counts, bins = np.bincount(sizes, minlength=21).tolist(), []
+        for s in sizes:
+            room = [(b, -i) for i, b in enumerate(bins) if b + s <= 20]
+            if room:
+                bins[-max(room)[1]] += s
+            else:
+                bins.append(s)
+        first = packing.best_fit(counts, 20)
+        assert sum(t for _, t in first) == len(bins)
+        plan, optimal = packing.complete(counts, first, 20)
+        assert optimal and sum(t for _, t in plan) == sum(t for _, t in packing.pack_counts(counts, 20)) == least_bins(sizes, 20)
+
+
+def test_plans_of_skewed_sizes_go_back_on_choices():
+    """Few sizes with many items each, where the first filling as often as the counts allow takes 451 bins."""
+    rng = np.random.default_rng(2)
+    counts = [0] * 1025
+    for s in rng.integers(100, 700, 8):
+        counts[int(s)] += int(rng.integers(1, 300))
+    used = Counter()
+    plan = packing.pack_counts(counts)
+    for filling, times in plan:
+        assert sum(s * k for s, k in filling) <= 1024
+        for s, k in filling:
+            used[s] += k * times
+    assert used == Counter({s: n for s, n in enumerate(counts) if n})
+    assert sum(t for _, t in plan) <= 445
+
+
+def test_fillings_are_the_undominated_ones():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = sorted({int(x) for x in rng.integers(1, 15, 5)}, reverse=True)
+        left, room = rng.integers(1, 4, len(sizes)).tolist(), int(rng.integers(15, 30))
+        want = []
+        for ks in product(*(range(n + 1) for n in left)):
+            items = [s for s, k in zip(sizes, ks) for _ in range(k)]
+            waste = room - sum(items)
+            sums = [(sum(x for x, b in zip(items, bits) if b), sum(bits)) for bits in product([0, 1], repeat=len(items))]
+            replaced = any(k < n and any(t < s <= t + waste or (t == s and m > 1) for t, m in sums) for s, n, k in zip(sizes, left, ks))
+            if waste >= 0 and not replaced:
+                want.append((tuple((s, k) for s, k in zip(sizes, ks) if k), waste))
+        found = list(packing.fillings(room, sizes, left, [10**6]))
+        assert sorted(found) == sorted(want) and [w for _, w in found] == sorted(w for _, w in found)
+
+
 # classifiers
 
 
