@@ -30,11 +30,17 @@ def _edited(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without a letter are rejected."""
+    """Documents in a learned language: those without a letter are rejected, and those that score below what rows of their length scored that were learned from.
+
+    If no row teaches a language, all documents with a letter stay.
+    """
     given = docs.drop("lang_pred", "score")
-    known = given.filter(~lid.held_out(F.col("doc_id"), 4, 2))
-    judged = lid.identify(given, lid.fit(known))
-    return judged.filter(F.col("lang_pred") != lid.UNDETERMINED).select(*[F.col(f"`{c}`") for c in given.columns])
+    learned = ~lid.held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull()
+    prototypes = lid.fit(given.filter(learned))
+    if not prototypes:
+        return given.filter(F.col("text").rlike(r"\p{L}"))
+    judged = materialise(lid.identify(given, prototypes))
+    return judged.filter(lid.accepted(lid.score_bounds(judged.filter(learned)))).select(*[F.col(f"`{c}`") for c in given.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

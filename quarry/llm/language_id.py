@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 DIMENSIONS = 1024
 SEED = 20240229
 UNDETERMINED = "und"
+#: Learned rows that a class of lengths needs for a bound on scores, and the share of their least score that is the bound.
+LEAST_ROWS, MARGIN = 100, 0.5
 #: Documents and characters that are looked at together; bounds a worker's memory, not what is read.
 _DOCS, _CHARS = 256, 400_000
 #: Beyond so many possible trigrams they are found by sorting instead of in a table.
@@ -169,6 +171,28 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
+def _size_class(text: Column) -> Column:
+    """Documents of like length: the number of binary digits of the number of characters."""
+    return F.length(F.bin(F.length(F.coalesce(text, F.lit("")))))
+
+
+def score_bounds(judged: DataFrame, text_col: str = "text") -> dict[int, float]:
+    """By class of length, MARGIN times the least score of identify() among rows that the prototypes were learned from.
+
+    Classes with fewer than LEAST_ROWS rows have no bound, and the driver gets one row a class.
+    """
+    of = judged.filter(F.col("lang_pred") != UNDETERMINED).groupBy(_size_class(F.col(text_col)).alias("k")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    return {r["k"]: MARGIN * r["least"] for r in of.collect() if r["n"] >= LEAST_ROWS}
+
+
+def accepted(bounds: dict[int, float], text_col: str = "text") -> Column:
+    """Whether a row that identify() judged has a language, and a score that is not below the bound of its length."""
+    kind, bound = _size_class(F.col(text_col)), F.lit(0.0)
+    for k, v in bounds.items():
+        bound = F.when(kind == k, v).otherwise(bound)
+    return (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= bound)
+
+
 def language_id(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every document, learned from the documents that are not held out."""
     out = held_out(F.col("doc_id"), folds, fold)

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_llm import AWKWARD, WORD, check_places, components_by_force, frame, in_order, kept_by_force, lines_by_force
 
 from quarry.llm.common import materialise
@@ -41,6 +42,23 @@ def test_documents_without_a_letter_go(steps):
     same(pairs(steps[1]), [(i, t) for i, t in pairs(steps[0]) if t and any(c.isalpha() for c in t)])
 
 
+def test_texts_in_no_learned_language_go(spark, sf_dir):
+    """Those of a length that enough rows were learned from; shorter ones, and all learned rows, stay."""
+    from quarry.llm.language_id import LEAST_ROWS
+
+    clean = [(i, " ".join(f"{a} {b} the house of {a}" for a in ("river", "mountain", "window")) + f" {b}", "en") for i, b in enumerate(["green", "winter", "morning", "letter"] * LEAST_ROWS)]
+    other = [(1000, "你好世界这是一个没有学过的语言" * 8, None), (1001, "Αυτό είναι ένα κείμενο στα ελληνικά που δεν έχει μάθει κανείς " * 2, None), (1002, "你好", None), (1003, "12 34", None)]
+    docs = spark.createDataFrame([(i, t, l, None, len(t)) for i, t, l in clean + other], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    same(pairs(corpus_pipeline.identify_language(spark, docs, sf_dir)), [(i, t) for i, t, _ in [*clean, other[2]]])
+
+
+def test_documents_stay_if_no_language_is_learned(spark, sf_dir):
+    docs = frame(spark, AWKWARD).withColumn("lang", F.lit(None).cast("string"))
+    found = corpus_pipeline.identify_language(spark, docs, sf_dir)
+    assert found.columns == COLUMNS
+    same(pairs(found), [(i, t) for i, t in AWKWARD if t and any(c.isalpha() for c in t)])
+
+
 def test_repeated_lines_go(steps):
     given = in_order(set(pairs(steps[1])))
     fate = {(i, t): left for (i, t), (_, left, _, _) in zip(given, lines_by_force(given))}
