@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import language_id as lid
-from quarry.llm.common import materialise, table
+from quarry.llm.common import fresh, materialise, table
 from quarry.llm.line_dedup import line_dedup
-from quarry.llm.ngram_join import ngram_jaccard_join
+from quarry.llm.ngram_join import ngram_jaccard_join, row_key
 from quarry.llm.packing import pack_documents
 from quarry.llm.queries import tokenizer_path
 from quarry.llm.substring_dedup import substring_dedup
@@ -49,10 +49,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar ones: that with the smallest id. Rows with a null id stay."""
-    classes = ngram_jaccard_join(docs)
-    gone = classes.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Of each component of similar rows one with the smallest id, and one of those with a null id. Rows count, not ids."""
+    id_, key_ = fresh("_id", docs.columns), fresh("_key", docs.columns)
+    classes = ngram_jaccard_join(docs, rows=True)
+    # rows equal in id and text are in one component: none of them stays, or one, or all (without words)
+    fate = classes.groupBy(F.col("doc_id").alias(id_), F.col("key").alias(key_)).agg(F.max("first").alias("one"), F.min("first").alias("all"))
+    changed = materialise(fate.filter(~F.col("all")).select(id_, key_, "one"))
+    keyed = docs.withColumn(key_, row_key())
+    on = lambda c: (keyed[key_] == c[key_]) & keyed["doc_id"].eqNullSafe(c[id_])
+    left = keyed.join(changed, on(changed), "left_anti")
+    twins = changed.filter("one")
+    if not twins.isEmpty():
+        left = left.unionByName(keyed.join(twins, on(twins), "left_semi").dropDuplicates(["doc_id", key_]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import grams as G
@@ -59,14 +59,19 @@ def signature(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """What tells rows apart that have the same id."""
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, n, text, tokens, places, bits): each document's set size, and the n-grams of its prefix that another document has.
+    """(rid, doc_id, key, n, text, tokens, places, bits): each document's set size, and the n-grams of its prefix that another document has.
 
-    rid numbers the rows; text and bits, the set's signature, are null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
+    rid numbers the rows, and key is row_key() of each; text and bits, the set's signature, are null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
     """
     groups, buckets = G.layout(docs, text_col)
     taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    dealt = taken.withColumn("_grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
+    dealt = taken.withColumn("key", row_key()).withColumn("_grp", F.pmod("key", F.lit(groups)).cast("int"))
 
     def ordered(t):
         return t.take(pc.sort_indices(t, [("doc_id", "ascending"), ("text", "ascending")]))
@@ -103,14 +108,14 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
             bits.append(signature(own) if len(at) else None)
         kept = pa.array([x is not None for x in tokens])
         return pa.table({
-            "rid": pa.array((grp << 32) + np.arange(t.num_rows)), "doc_id": t["doc_id"], "n": pa.array([len(x) for x in sets], pa.int64()),
+            "rid": pa.array((grp << 32) + np.arange(t.num_rows)), "doc_id": t["doc_id"], "key": t["key"], "n": pa.array([len(x) for x in sets], pa.int64()),
             "text": pc.if_else(kept, t["text"], pa.scalar(None, t.schema.field("text").type)), "tokens": pa.array(tokens, pa.binary()), "places": pa.array(places, pa.binary()), "bits": pa.array(bits, pa.list_(pa.int64())),
         })
 
     own = dealt.groupBy("_grp")
     counted = own.applyInArrow(count, G.MESSAGE).groupBy("bucket").applyInArrow(add, G.MESSAGE)
     kind = taken.schema["doc_id"].dataType.simpleString()
-    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, n bigint, text string, tokens binary, places binary, bits array<bigint>")
+    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, key bigint, n bigint, text string, tokens binary, places binary, bits array<bigint>")
 
 
 def _entries(found: DataFrame) -> DataFrame:
@@ -175,12 +180,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.selectExpr("hi as node", "lo as root").unionAll(now.selectExpr("lo as node", "lo as root").distinct())
 
 
-def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id.
+def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id; with `rows` also key (see row_key()) and first.
 
     Rows link when their sets' Jaccard similarity is at least threshold percent; component_id is the smallest
     non-null id that links reach, the row's own included. Null and empty texts, and texts of white space, have
     an empty set and no links. A repeated row links with its twin unless its set is empty. Other columns are ignored.
+    Of each component's rows with an id the one with the smallest is first, and one of those without an id; of
+    rows with the same id, or without, an arbitrary but fixed one.
     """
     found = materialise(prefixes(docs, width, threshold, id_col, text_col))
     entries = _entries(found)
@@ -212,4 +219,10 @@ def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     members = classes.withColumnRenamed("node", "rid").join(ids.select("rid", "doc_id"), "rid")
     least = with_group(members, ["root"], F.col("rid"), {"_c": F.min("doc_id")}, {"component_id": F.min("_c")})
     result = ids.join(least.select("rid", "component_id"), "rid", "left")
+    if rows:
+        named = members.withColumn("_none", F.col("doc_id").isNull())
+        best = with_group(named, ["root", "_none"], F.col("rid"), {"_f": F.min(F.struct("doc_id", "rid"))}, {"_first": F.min("_f")})
+        later = best.filter(F.col("rid") != F.col("_first.rid")).select("rid", F.lit(False).alias("first"))
+        result = result.join(found.select("rid", "key"), "rid").join(later, "rid", "left")
+        return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "key", F.coalesce("first", F.lit(True)).alias("first"))
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

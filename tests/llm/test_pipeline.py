@@ -71,6 +71,16 @@ def test_one_document_of_each_component_stays(steps):
     same(pairs(steps[3]), [(i, t) for i, t in given if i not in gone])
 
 
+def test_one_row_of_each_component_stays(spark, sf_dir):
+    """Rows count, not ids: repeated rows, rows without an id, and other texts under the id of a copy."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (1, a), (2, f"{a} x"), (2, b), (3, c), (3, f"{c} x"), (None, d), (None, f"{d} x"), (None, d), (None, f"{c} y"), (4, ""), (4, ""), (None, None), (None, None)]
+    got = pairs(corpus_pipeline.drop_near_copies(spark, frame(spark, rows), sf_dir))
+    ones = [[x for x in got if x in group] for group in ([(3, c), (3, f"{c} x")], [(None, d), (None, f"{d} x")])]
+    assert [len(x) for x in ones] == [1, 1]
+    same([x for x in got if x not in ones[0] + ones[1]], [(1, a), (2, b), (None, f"{c} y"), (4, ""), (4, ""), (None, None), (None, None)])
+
+
 def test_repeated_passages_go(steps):
     given = in_order(pairs(steps[3]))
     same([(i, WORD.findall(t or "")) for i, t in pairs(steps[4])], [(i, w) for (i, _), (_, _, w) in zip(given, kept_by_force(given))])
