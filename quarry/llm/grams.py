@@ -9,6 +9,7 @@ documents have it, and texts move once.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ LEAST_MOST = 12 << 20
 SAMPLE = 2_000_000
 #: Text bytes that are taken apart at a time.
 _SLICE = 2 << 20
+#: Bytes up to which words are mixed by eights.
+LONG = 64
 _U = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -34,7 +37,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = np.ones(1, _U)
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,15 +48,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers_to(n: int) -> np.ndarray:
-    global _powers
-    if len(_powers) < n:
-        p = np.full(max(n, 256), _BASE)
-        p[0] = 1
-        _powers = np.multiply.accumulate(p)
-    return _powers
-
-
 @dataclass
 class Words:
     """The words of texts: a number for each, where its bytes are, and at which word each text begins."""
@@ -110,20 +105,25 @@ def _words(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
     begins[1:] &= ~solid[:-1] | edge[1:-1]
     ends[:-1] &= ~solid[1:] | edge[1:-1]
     begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    size = end - begin
-    if not len(begin):
-        number = np.empty(0, _U)
-    else:
-        chars = own[solid]
-        if lower:
-            chars = _LOWER[chars]
-        start = np.cumsum(size) - size
-        place = np.arange(len(chars)) - np.repeat(start, size)
-        value = (chars.astype(_U) + _U(1)) * _powers_to(int(size.max()))[place]
-        number = mix(np.add.reduceat(value, start) ^ (size.astype(_U) << _U(56)))
+    number = _numbers(_LOWER[own] if lower else own, begin, end - begin)
     return Words(number, begin + at, end + at, np.searchsorted(begin + at, offsets))
 
 
+def _numbers(own: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each word, that mixes in eight bytes at a time (no sum of terms, which words can be made to agree in); of words over LONG bytes a digest."""
+    padded = np.append(own, np.zeros(8, np.uint8))
+    eight = np.ndarray(len(own) + 1, "<u8", padded.data, strides=(1,))
+    number, which = size.astype(_U) * _BASE, np.flatnonzero(size <= LONG)
+    for k in range(0, LONG, 8):
+        which = which[size[which] > k]
+        if not len(which):
+            break
+        number[which] = mix(number[which] ^ (eight[begin[which] + k] & _FIRST[np.minimum(size[which] - k, 8)]))
+    for i in np.flatnonzero(size > LONG):
+        number[i] = int.from_bytes(blake2b(own[begin[i] : begin[i] + size[i]], digest_size=8).digest(), "little")
+    return number
+
+
 def _times(a, b) -> np.uint64:
     return _U(int(a) * int(b) & 0xFFFFFFFFFFFFFFFF)
 

@@ -122,6 +122,18 @@ def test_ngrams_follow_their_words():
     assert all((grams.long(grams.short(x[i:j], 7)) == (grams.spread(x[i:j], 7) & np.uint64(0xFFFFFFFF))).all() for i, j in zip(cut, cut[1:]))
 
 
+def test_words_that_sums_cannot_tell_apart():
+    """Thue-Morse words agree in every polynomial modulo 2 ** 64; lengths around eights and around the digest's bound."""
+    import pyarrow as pa
+
+    signs = [0]
+    while len(signs) < 2048:
+        signs += [1 - x for x in signs]
+    pairs = [("".join("ab"[x] for x in signs[:n]), "".join("ba"[x] for x in signs[:n])) for n in (1, 7, 8, 9, 16, 63, 64, 65, 1024, 2048)]
+    every = sorted({w for p in pairs for w in p} | {"a" * n for n in range(1, 70)} | {"a" * n + "\0" for n in range(1, 70)} | {"\0" * n for n in range(1, 70)})
+    assert len(set(grams.words_of(pa.array([" ".join(every)])).number.tolist())) == len(every)
+
+
 def test_ranges_by_binary_search(spark):
     bounds = [3, 5, 9, 20, 21]
     got = {r.id: r.g for r in spark.range(30).select("id", grams.range_of(F.col("id"), bounds).alias("g")).collect()}
