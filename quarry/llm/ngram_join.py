@@ -1,17 +1,24 @@
 """Exact self-join of documents by Jaccard similarity of word n-gram sets, by prefixes and set relations.
 
 All documents' n-grams are counted, so that each set can be put into one global order, rare n-grams first;
-sets that are similar enough share an n-gram within their prefixes, and n-grams of one document alone need no
-index. Two relations between sets save most of the rest. Index lists are read in blocks: the members that
-share a list's first set as an answer are one block, and a list whose members are all one block is skipped as a
-whole. Answers are derived from a similar set's: a member is compared with its list's first set, and only
-members of lists that are then left with several classes are compared with one another, where sizes,
-positions in the order and signatures allow. So no pair within a class of near copies is made, and no link between
-classes is lost.
+sets that are similar enough share an n-gram within their prefixes, whose index lists are the candidates, and
+n-grams of one document alone need no index. Relations between sets save most of the rest:
+
+1. A set is compared with one other, the first set of most of its lists. Similar ones make classes; a list whose
+   members are all of one class is skipped as a whole.
+2. In the lists that are left, a set is compared with one first set of each other class, and classes are joined.
+3. What is left of the lists is read by blocks of sizes. A set's place in a list bounds the sizes of sets that it can
+   be similar to, and all other blocks of the list are skipped. The pairs that come out are answered from the answers
+   of the sets that they were similar to in step 1 where these and the known differences decide, else compared.
+
+A set has one link in step 1 and one a class in step 2, so links do not grow with the square of a group, no pair
+within a class is made, and no link between classes is lost.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +31,8 @@ from quarry.llm.common import materialise, with_group
 WIDTH = 5
 #: Similarity in percent.
 THRESHOLD = 80
+#: Blocks of sizes for each factor e between sizes.
+BLOCKS = 34
 #: Bits of a set's parity signature: two signatures differ in at most as many bits as the sets in elements.
 BITS = 1024
 
@@ -135,27 +144,83 @@ def _entries(found: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
-    """(a, b, both, either): sizes of intersection and union of the pairs (a, b) whose sizes allow similarity."""
+    """The pairs (a, b, ...) whose sizes allow similarity, with both and either: sizes of intersection and union. Each set has an n-gram."""
+    more = [f for f in pairs.schema if f.name not in ("a", "b")]
 
     def run(batches):
         last, own = None, None
-        for b in batches:
-            left = shingle_sets(b.column(2), width)
+        for t in batches:
+            left = shingle_sets(t.column(2), width)
             both = []
-            for i, (name, text) in enumerate(zip(b.column(1).to_pylist(), b.column(3))):
+            for x, name, text in zip(left, t.column(1).to_pylist(), t.column(3)):
                 if name != last:  # pairs come sorted by b, and many have the same
                     last, own = name, shingle_sets(pa.array([text.as_py()], pa.string()), width)[0]
-                x = left[i]
                 at = np.minimum(np.searchsorted(own, x), len(own) - 1)
                 both.append((int((own[at] == x).sum()), len(own) + len(x)))
             n = np.array(both, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n[:, 0]), pa.array(n[:, 1] - n[:, 0])], ["a", "b", "both", "either"])
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), *t.columns[4:], pa.array(n[:, 0]), pa.array(n[:, 1] - n[:, 0])], ["a", "b", *(f.name for f in more), "both", "either"])
 
     texts = found.filter("text is not null")
     with_a = pairs.join(texts.select(F.col("rid").alias("a"), F.col("n").alias("a_n"), F.col("text").alias("a_text")), "a")
     with_b = with_a.join(texts.select(F.col("rid").alias("b"), F.col("n").alias("b_n"), F.col("text").alias("b_text")), "b")
     near = with_b.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * threshold)
-    return near.select("a", "b", "a_text", "b_text").mapInArrow(run, "a bigint, b bigint, both bigint, either bigint")
+    names = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in more)
+    return near.select("a", "b", "a_text", "b_text", *(f.name for f in more)).mapInArrow(run, f"a bigint, b bigint, {names}both bigint, either bigint")
+
+
+def _block(n: Column) -> Column:
+    """The block of sizes that n is in; they rise with n, some eight of them to the least similar size."""
+    return F.floor(F.log(n) * BLOCKS).cast("int")
+
+
+def _candidates(split: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b, a_root, b_root) of different classes that share a list of split (token, rid, n, place, root, bits) and may be similar.
+
+    From their first common n-gram on, sets of n and m elements with it at the places p and q have n - p and m - q
+    elements at most in common. So a set at p can be similar to sizes up to a bound, and only to blocks below it is it
+    sent; sets that are placed too late for any set of their own size or larger are in no block.
+    """
+    n, place, per = F.col("n"), F.col("place"), F.lit(100 + threshold)
+    least = F.ceil(n * threshold / 100)
+    most = F.least(n, F.floor(((n - place) * per - n * threshold) / threshold))
+    x = split.withColumn("_lo", least).withColumn("_hi", most).filter("_hi >= _lo").withColumn("block", F.explode(F.sequence(_block(F.col("_lo")), _block(F.col("_hi"))))).alias("x")
+    y = split.filter((n - place) * per >= 2 * n * threshold).withColumn("block", _block(n)).alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    apart = sum((F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
+    smaller = (F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.rid") < F.col("x.rid")))
+    sizes = F.col("y.n").between(F.col("x._lo"), F.col("x._hi")) & ((F.col("y.n") - F.col("y.place")) * per >= total * threshold)
+    allowed = smaller & sizes & ((total - apart) * per >= 2 * total * threshold)
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.root") != F.col("y.root")) & allowed)
+    return met.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b"), F.col("x.root").alias("a_root"), F.col("y.root").alias("b_root")).distinct()
+
+
+def _answered(pairs: DataFrame, answers: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
+    """The pairs (a, b, a_root, b_root) that are similar.
+
+    answers: (a, b, both, either) with one row for a set that was found similar to b, its relation. A pair's answer
+    follows from that of the two relations' intersection, wherever it and the elements that the sets have more or
+    less leave no doubt; the others are compared.
+    """
+    size = F.col("n")
+    kin = found.filter("text is not null").select(F.col("rid"), "n").join(answers.select(F.col("a").alias("rid"), F.col("b").alias("_b"), "both", "either"), "rid", "left")
+    kin = kin.select("rid", "n", F.coalesce("_b", "rid").alias("kin"), F.coalesce(size - F.col("both"), F.lit(0)).alias("over"), F.coalesce(F.col("either") - size, F.lit(0)).alias("under"))
+    named = pairs
+    for side in ("a", "b"):
+        named = named.join(kin.select(*[F.col(c).alias(side if c == "rid" else f"{side}_{c}") for c in kin.columns]), side)
+    named = materialise(named)
+    known = _compared(named.select(F.col("a_kin").alias("a"), F.col("b_kin").alias("b")).distinct(), found, width, threshold)
+    judged = named.join(known.select(F.col("a").alias("a_kin"), F.col("b").alias("b_kin"), "both"), ["a_kin", "b_kin"], "left")
+    total, per = (F.col("a_n") + F.col("b_n")) * threshold, 100 + threshold
+    surely = (F.col("both") - F.col("a_under") - F.col("b_under")) * per >= total
+    maybe = (F.col("both") + F.col("a_over") + F.col("b_over")) * per >= total
+    judged = materialise(judged.select("a", "b", "a_root", "b_root", F.coalesce(surely, F.lit(False)).alias("surely"), F.coalesce(maybe, F.lit(True)).alias("maybe")))
+    roots = ["a_root", "b_root"]
+    compared = _compared(judged.filter("maybe and not surely").select("a", "b", *roots), found, width, threshold).filter(_similar(threshold))
+    return judged.filter("surely").select(*roots).unionAll(compared.select(*roots))
+
+
+def _similar(threshold: int) -> Column:
+    return F.col("both") * 100 >= F.col("either") * threshold
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -180,6 +245,54 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.selectExpr("hi as node", "lo as root").unionAll(now.selectExpr("lo as node", "lo as root").distinct())
 
 
+def _of_several(lists: DataFrame) -> DataFrame:
+    """The lists (token, rid, root, ...) that have members of several classes, with the first member and its class."""
+    whole = with_group(
+        lists, ["token"], F.col("rid"),
+        {"_lo": F.min("root"), "_hi": F.max("root"), "_f": F.min(F.struct("rid", "root"))}, {"lo": F.min("_lo"), "hi": F.max("_hi"), "first": F.min("_f")},
+    )
+    return whole.filter("lo <> hi").drop("lo", "hi")
+
+
+def similarity_classes(found: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
+    """(node, root) of the sets of prefixes() that are linked with another, directly or by way of others; root is the smallest rid of a class."""
+    entries = _entries(found)
+    listed = with_group(entries.select("token", "rid"), ["token"], F.col("rid"), {"_least": F.min("rid")}, {"first": F.min("_least")})
+    pairs = listed.filter("rid <> first").groupBy(F.col("rid").alias("a")).agg(F.mode("first", True).alias("b"))
+    answers = materialise(_compared(pairs, found, width, threshold))
+    links = answers.filter(_similar(threshold))
+    classes = connected_components(links.select("a", "b"))
+
+    def joined(more: DataFrame) -> DataFrame:
+        """What classes become by links (a_root, b_root) between their roots: (root, now)."""
+        return connected_components(more.select(F.col("a_root").alias("a"), F.col("b_root").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("now"))
+
+    def renamed(df: DataFrame, now: DataFrame) -> DataFrame:
+        return df.join(now, "root", "left").withColumn("root", F.coalesce("now", "root")).drop("now")
+
+    named = entries.join(classes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    several = materialise(_of_several(named))
+    others = several.filter(F.col("root") != F.col("first.root"))
+    pairs = others.groupBy(F.col("rid").alias("a"), F.col("root").alias("a_root"), F.col("first.root").alias("b_root")).agg(F.min("first.rid").alias("b"))
+    pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "a_root", "b_root")
+    further = materialise(_compared(pairs, found, width, threshold).filter(_similar(threshold)).select("a_root", "b_root").distinct())
+    merges = []
+    if not further.isEmpty():
+        merges.append(joined(further))
+        several = _of_several(renamed(several.drop("first"), merges[-1]))
+    split = several.select("token", "rid", "n", "place", "root").join(found.filter("bits is not null").select("rid", "bits"), "rid")
+    left = materialise(_candidates(materialise(split), threshold))
+    if not left.isEmpty():
+        last = materialise(_answered(left, links, found, width, threshold).distinct())
+        if not last.isEmpty():
+            merges.append(joined(last))
+    if not merges:
+        return classes
+    alone = reduce(lambda a, b: a.unionAll(b), [m.select(F.col("root").alias("node")) for m in merges]).distinct().join(classes, "node", "left_anti")
+    every = classes.unionAll(alone.select("node", F.col("node").alias("root")))  # sets that were in no class before
+    return reduce(renamed, merges, every).select("node", "root")
+
+
 def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id; with `rows` also key (see row_key()) and first.
 
@@ -190,31 +303,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = WIDTH, threshold: int = THR
     rows with the same id, or without, an arbitrary but fixed one.
     """
     found = materialise(prefixes(docs, width, threshold, id_col, text_col))
-    entries = _entries(found)
-    # each list's first set answers for the list
-    listed = with_group(entries.select("token", "rid"), ["token"], F.col("rid"), {"_least": F.min("rid")}, {"first": F.min("_least")})
-    pairs = listed.filter("rid <> first").select(F.col("rid").alias("a"), F.col("first").alias("b")).distinct()
-    answers = materialise(_compared(pairs, found, width, threshold))
-    similar = F.col("both") * 100 >= F.col("either") * threshold
-    links = answers.filter(similar).select("a", "b")
-    classes = connected_components(links)
-    # lists that are left with several classes, compared by members of different classes
-    named = entries.join(classes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    whole = with_group(named, ["token"], F.col("rid"), {"_lo": F.min("root"), "_hi": F.max("root")}, {"lo": F.min("_lo"), "hi": F.max("_hi")})
-    several = whole.filter("lo <> hi").select("token", "rid", "n", "place", "root")
-    split = materialise(several.join(found.filter("bits is not null").select("rid", "bits"), "rid"))
-    x, y = split.alias("x"), split.alias("y")
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    room = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))  # from their first common n-gram on
-    total = F.col("x.n") + F.col("y.n")
-    apart = sum((F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i)))) for i in range(BITS // 64)), F.lit(0))
-    allowed = (small * 100 >= large * threshold) & (room * (100 + threshold) >= total * threshold) & ((total - apart) * (100 + threshold) >= 2 * total * threshold)
-    across = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") < F.col("y.root")) & allowed)
-    more = across.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct()
-    known = answers.select("a", "b").unionAll(answers.selectExpr("b as a", "a as b"))
-    further = materialise(_compared(more.join(known, ["a", "b"], "left_anti"), found, width, threshold)).filter(similar)
-    if not further.isEmpty():
-        classes = connected_components(classes.selectExpr("node as a", "root as b").unionAll(further.select("a", "b")))
+    classes = similarity_classes(found, width, threshold)
     ids = found.select("rid", "doc_id", "n")
     members = classes.withColumnRenamed("node", "rid").join(ids.select("rid", "doc_id"), "rid")
     least = with_group(members, ["root"], F.col("rid"), {"_c": F.min("doc_id")}, {"component_id": F.min("_c")})

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm import grams, language_id, packing, quality_classifier, substring_dedup, url_filter
+from quarry.llm import grams, language_id, ngram_join, packing, quality_classifier, substring_dedup, url_filter
 from quarry.llm.bpe import MergeAutomaton, bpe_decode, bpe_encode, bpe_round_trip, tokenizer
 from quarry.llm.common import materialise, with_group
 from quarry.llm.exact_dedup import chunks, exact_dedup, verified
@@ -257,6 +257,62 @@ def test_ngram_join_on_chains_and_shared_passages(spark, small_groups, seed):
     assert plain(ngram_jaccard_join(frame(spark, rows)), "doc_id", "n_shingles", "component_id") == sorted(components_by_force(rows), key=repr)
 
 
+def near_threshold(rng, n, base, changed):
+    """n texts, each with other words of the base changed: neighbours are about as similar as they need be."""
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.choice(len(base), int(rng.integers(1, changed)), replace=False):
+            words[k] = f"{words[k]}_{rng.integers(3)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ngram_join_near_the_threshold(spark, small_groups, seed):
+    """Groups of near copies that come out in several classes at first; two bases that share a half."""
+    rng = np.random.default_rng(seed)
+    base = passage("n", 120).split()
+    rows = near_threshold(rng, 70, base, 6) + [(100 + i, t) for i, t in near_threshold(rng, 50, base[:60] + passage("m", 60).split(), 5)]
+    assert plain(ngram_jaccard_join(frame(spark, rows)), "doc_id", "n_shingles", "component_id") == sorted(components_by_force(rows), key=repr)
+
+
+def test_ngram_join_compares_few_pairs_of_a_group(spark, small_groups, monkeypatch):
+    """Four times the rows of one group of near copies: as many comparisons a row, and one link."""
+    counted, compared = [], ngram_join._compared
+
+    def counting(pairs, *rest):
+        counted.append(pairs.count())
+        return compared(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_compared", counting)
+    totals = []
+    for n in (100, 400):
+        counted.clear()
+        rows = near_threshold(np.random.default_rng(7), n, passage("n", 120).split(), 4)
+        ngram_jaccard_join(frame(spark, rows)).count()
+        assert counted[0] <= n
+        totals.append(sum(counted))
+    assert totals[1] <= 6 * totals[0]
+
+
+def test_candidates_lose_no_similar_pair(spark):
+    """Blocks of sizes and places against all pairs of sets in one global order."""
+    rng = np.random.default_rng(11)
+    sets = []
+    for _ in range(12):
+        base = rng.choice(400, int(rng.integers(1, 60)), replace=False)
+        for _ in range(8):
+            own = set(base[rng.random(len(base)) > rng.choice([0.02, 0.1, 0.2])].tolist()) | set(rng.choice(400, int(rng.integers(0, 6))).tolist())
+            sets.append(sorted(own))
+    similar = {(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if x and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y})}
+    listed = [(t, i, len(x), k, i, ngram_join.signature(np.array(x, np.uint64)).tolist()) for i, x in enumerate(sets) for k, t in enumerate(x[: len(x) - required(len(x)) + 1])]
+    split = spark.createDataFrame(listed, "token bigint, rid bigint, n bigint, place bigint, root bigint, bits array<bigint>")
+    found = {(max(r.a, r.b), min(r.a, r.b)) for r in ngram_join._candidates(split, 80).collect()}
+    assert similar <= found and len(similar) > 40
+    assert len(found) < 3 * len(similar)
+
+
 def test_required_overlap():
     for n in range(1, 300):
         assert required(n) == next(o for o in range(n + 1) if 100 * o >= 80 * n)
