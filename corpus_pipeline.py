@@ -54,11 +54,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     classes = ngram_jaccard_join(docs, rows=True)
     # rows equal in id and text are in one component: none of them stays, or one, or all (without words)
     fate = classes.groupBy(F.col("doc_id").alias(id_), F.col("key").alias(key_)).agg(F.max("first").alias("one"), F.min("first").alias("all"))
-    changed = materialise(fate.filter(~F.col("all")).select(id_, key_, "one"))
+    changed = materialise(fate.filter(~F.col("all")).select(id_, key_, "one")).hint("shuffle_hash")  # ids only: texts need no sorting
     keyed = docs.withColumn(key_, row_key())
     on = lambda c: (keyed[key_] == c[key_]) & keyed["doc_id"].eqNullSafe(c[id_])
     left = keyed.join(changed, on(changed), "left_anti")
-    twins = changed.filter("one")
+    twins = changed.filter("one").hint("shuffle_hash")
     if not twins.isEmpty():
         left = left.unionByName(keyed.join(twins, on(twins), "left_semi").dropDuplicates(["doc_id", key_]))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
