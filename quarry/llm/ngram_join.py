@@ -4,15 +4,16 @@ All documents' n-grams are counted, so that each set can be put into one global
 sets that are similar enough share an n-gram within their prefixes, whose index lists are the candidates, and
 n-grams of one document alone need no index. Relations between sets save most of the rest:
 
-1. A set is compared with one other, the first set of most of its lists. Similar ones make classes; a list whose
-   members are all of one class is skipped as a whole.
-2. In the lists that are left, a set is compared with one first set of each other class, and classes are joined.
+1. Sets that have the same first element in one of several random orders are compared with the first row among them.
+   Similar ones make classes; an index list whose members are all of one class is skipped as a whole.
+2. In the lists that are left, a set is compared with one first set of each other class, and for each order with a set
+   of another class that chance picks; classes are joined.
 3. What is left of the lists is read by blocks of sizes. A set's place in a list bounds the sizes of sets that it can
    be similar to, and all other blocks of the list are skipped. The pairs that come out are answered from the answers
    of the sets that they were similar to in step 1 where these and the known differences decide, else compared.
 
-A set has one link in step 1 and one a class in step 2, so links do not grow with the square of a group, no pair
-within a class is made, and no link between classes is lost.
+A set has a bounded number of links in step 1, and in step 2 with it one a class, so links do not grow with the square
+of a group; no pair within a class is made, and no link between classes is lost: steps 1 and 2 only save work.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ WIDTH = 5
 THRESHOLD = 80
 #: Blocks of sizes for each factor e between sizes.
 BLOCKS = 34
+#: Orders in which sets that have the same first element are compared with one of them.
+HASHES = 8
 #: Bits of a set's parity signature: two signatures differ in at most as many bits as the sets in elements.
 BITS = 1024
 
@@ -68,15 +71,21 @@ def signature(values: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view("<i8")
 
 
+def min_hashes(values: np.ndarray) -> np.ndarray:
+    """HASHES elements, each the first in an order of its own: similar sets have most of them in common. values are hashes themselves."""
+    orders = [values, *(G.mix(values + np.uint64(i)) for i in range(1, HASHES // 2))]
+    return np.array([x for order in orders for x in (order.min(), order.max())]).view(np.int64)
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """What tells rows apart that have the same id."""
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
 def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, doc_id, key, n, text, tokens, places, bits): each document's set size, and the n-grams of its prefix that another document has.
+    """(rid, doc_id, key, n, text, tokens, places, bits, least): each document's set size, and the n-grams of its prefix that another document has.
 
-    rid numbers the rows, and key is row_key() of each; text and bits, the set's signature, are null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
+    rid numbers the rows, and key is row_key() of each; text, bits (the set's signature) and least (min_hashes()) are null where tokens is. tokens are packed 64-bit numbers, places their ranks in the global order.
     """
     groups, buckets = G.layout(docs, text_col)
     taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -106,7 +115,7 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
         sets = shingle_sets(t["text"], width)
         value = np.unique(np.concatenate(sets))
         rare = np.frombuffer(b"".join(r[2] for r in G.by_bucket(answers)), np.uint8)
-        tokens, places, bits = [], [], []
+        tokens, places, bits, least = [], [], [], []
         for own in sets:
             n, kind = len(own), rare[np.searchsorted(value, own)]
             order = np.argsort(kind, kind="stable")[: n - required(n, threshold) + 1 if n else 0]
@@ -115,16 +124,17 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
             tokens.append(own[order[at]].tobytes() if len(at) else None)
             places.append(at.astype(np.uint32).tobytes() if len(at) else None)
             bits.append(signature(own) if len(at) else None)
+            least.append(min_hashes(own) if len(at) else None)
         kept = pa.array([x is not None for x in tokens])
         return pa.table({
             "rid": pa.array((grp << 32) + np.arange(t.num_rows)), "doc_id": t["doc_id"], "key": t["key"], "n": pa.array([len(x) for x in sets], pa.int64()),
-            "text": pc.if_else(kept, t["text"], pa.scalar(None, t.schema.field("text").type)), "tokens": pa.array(tokens, pa.binary()), "places": pa.array(places, pa.binary()), "bits": pa.array(bits, pa.list_(pa.int64())),
+            "text": pc.if_else(kept, t["text"], pa.scalar(None, t.schema.field("text").type)), "tokens": pa.array(tokens, pa.binary()), "places": pa.array(places, pa.binary()), "bits": pa.array(bits, pa.list_(pa.int64())), "least": pa.array(least, pa.list_(pa.int64())),
         })
 
     own = dealt.groupBy("_grp")
     counted = own.applyInArrow(count, G.MESSAGE).groupBy("bucket").applyInArrow(add, G.MESSAGE)
     kind = taken.schema["doc_id"].dataType.simpleString()
-    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, key bigint, n bigint, text string, tokens binary, places binary, bits array<bigint>")
+    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, key bigint, n bigint, text string, tokens binary, places binary, bits array<bigint>, least array<bigint>")
 
 
 def _entries(found: DataFrame) -> DataFrame:
@@ -197,13 +207,14 @@ def _candidates(split: DataFrame, threshold: int) -> DataFrame:
 def _answered(pairs: DataFrame, answers: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
     """The pairs (a, b, a_root, b_root) that are similar.
 
-    answers: (a, b, both, either) with one row for a set that was found similar to b, its relation. A pair's answer
-    follows from that of the two relations' intersection, wherever it and the elements that the sets have more or
+    answers: (a, b, both, either) of sets a that were found similar to others b. A pair's answer follows from that of
+    its sets' closest ones, wherever it and the elements that the sets have more or
     less leave no doubt; the others are compared.
     """
     size = F.col("n")
-    kin = found.filter("text is not null").select(F.col("rid"), "n").join(answers.select(F.col("a").alias("rid"), F.col("b").alias("_b"), "both", "either"), "rid", "left")
-    kin = kin.select("rid", "n", F.coalesce("_b", "rid").alias("kin"), F.coalesce(size - F.col("both"), F.lit(0)).alias("over"), F.coalesce(F.col("either") - size, F.lit(0)).alias("under"))
+    closest = answers.groupBy(F.col("a").alias("rid")).agg(F.max(F.struct(F.col("both") - F.col("either"), "both", "either", "b")).alias("c"))
+    kin = found.filter("text is not null").select("rid", "n").join(closest, "rid", "left")
+    kin = kin.select("rid", "n", F.coalesce("c.b", "rid").alias("kin"), F.coalesce(size - F.col("c.both"), F.lit(0)).alias("over"), F.coalesce(F.col("c.either") - size, F.lit(0)).alias("under"))
     named = pairs
     for side in ("a", "b"):
         named = named.join(kin.select(*[F.col(c).alias(side if c == "rid" else f"{side}_{c}") for c in kin.columns]), side)
@@ -257,8 +268,9 @@ def _of_several(lists: DataFrame) -> DataFrame:
 def similarity_classes(found: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD) -> DataFrame:
     """(node, root) of the sets of prefixes() that are linked with another, directly or by way of others; root is the smallest rid of a class."""
     entries = _entries(found)
-    listed = with_group(entries.select("token", "rid"), ["token"], F.col("rid"), {"_least": F.min("rid")}, {"first": F.min("_least")})
-    pairs = listed.filter("rid <> first").groupBy(F.col("rid").alias("a")).agg(F.mode("first", True).alias("b"))
+    hashed = found.select("rid", F.posexplode("least").alias("which", "value"))
+    led = with_group(hashed, ["which", "value"], F.col("rid"), {"_lead": F.min("rid")}, {"lead": F.min("_lead")})
+    pairs = led.filter("rid <> lead").select(F.col("rid").alias("a"), F.col("lead").alias("b")).distinct()
     answers = materialise(_compared(pairs, found, width, threshold))
     links = answers.filter(_similar(threshold))
     classes = connected_components(links.select("a", "b"))
@@ -272,10 +284,16 @@ def similarity_classes(found: DataFrame, width: int = WIDTH, threshold: int = TH
 
     named = entries.join(classes.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     several = materialise(_of_several(named))
+    # one first set of each other class, and for each order a set of another class that chance picks
     others = several.filter(F.col("root") != F.col("first.root"))
-    pairs = others.groupBy(F.col("rid").alias("a"), F.col("root").alias("a_root"), F.col("first.root").alias("b_root")).agg(F.min("first.rid").alias("b"))
-    pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "a_root", "b_root")
-    further = materialise(_compared(pairs, found, width, threshold).filter(_similar(threshold)).select("a_root", "b_root").distinct())
+    firsts = others.groupBy(F.col("rid").alias("a"), F.col("root").alias("a_root"), F.col("first.root").alias("b_root")).agg(F.min("first.rid").alias("b"))
+    open_ = several.select("rid", "root").distinct().join(found.filter("least is not null").select("rid", "least"), "rid").select("rid", "root", F.posexplode("least").alias("which", "value"))
+    drawn = F.min(F.struct(F.xxhash64("rid", "which"), "rid", "root"))
+    led = with_group(open_, ["which", "value"], F.col("rid"), {"_lead": drawn}, {"lead": F.min("_lead")}).filter(F.col("root") != F.col("lead.root"))
+    columns = ["a", "b", "a_root", "b_root"]
+    pairs = led.select(F.col("rid").alias("a"), F.col("root").alias("a_root"), F.col("lead.root").alias("b_root"), F.col("lead.rid").alias("b")).select(columns).unionAll(firsts.select(columns)).distinct()
+    pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti")
+    further = materialise(_compared(pairs.select(columns), found, width, threshold).filter(_similar(threshold)).select("a_root", "b_root").distinct())
     merges = []
     if not further.isEmpty():
         merges.append(joined(further))
