@@ -1,11 +1,12 @@
 """Byte-pair encoding as a tokenization automaton, and decoding by its arc labels.
 
-States are "nothing read yet" and "last token read"; arcs are tokens. The arcs that a merge list leaves are
-found by taking merges in rank order and putting in one gadget each: merge (u, v) -> uv at rank r takes away
-every arc y out of a state x where, at the time r, u is the last symbol of x and v the first of y (the two
-would have been merged), and adds the token uv, if nothing merged across its middle earlier. What remains
-accepts exactly one path for each word: its encoding. Arcs are entered into the transition table when they
-are first asked for; a word is encoded by reading the longest arc that leads on, stepping back from dead ends.
+A deterministic automaton whose arcs are tokens is compiled from the merge list. It begins with one state and an arc
+back to it for each symbol. Each merge (u, v) -> uv then puts a gadget in: the state that all arcs u lead to is copied
+without its arc v, the arcs u are led to the copy, and wherever an arc u was, an arc uv leads to where v led. What
+comes of all merges accepts exactly one path for each word, its encoding, and so one path for each of its beginnings.
+A copy differs by one arc from its original, so the transition table has one entry for each merge: the token whose
+arcs lead to the copy, the arc that it lost, and since when. Words are encoded from left to right: each place has the
+one state that it can be reached in, whose arcs are read off the table.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 #: Stands for the end-of-word suffix inside the automaton; no mapped byte is this character.
 END = ""
 _NEVER = 1 << 60
-#: Bounds of a worker's memory for words and table; both are refilled after they are emptied.
-WORDS_KEPT, ARCS_KEPT = 600_000, 1_000_000
+#: Bound of a worker's memory for words; it is refilled after it is emptied.
+WORDS_KEPT = 600_000
 
 
 def byte_chars() -> list[str]:
@@ -37,88 +38,78 @@ def byte_chars() -> list[str]:
 
 
 class MergeAutomaton:
-    """Deterministic automaton over the tokens of a merge list."""
+    """Deterministic automaton over the tokens of a merge list. All arcs of a token lead to one state, which has the token's name; -1 is the first state."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]) -> None:
-        self.rank = {pair: r for r, pair in enumerate(merges)}
-        self.parts = {u + v: (u, v) for u, v in merges}
-        if len(self.parts) != len(merges):
+        made = {u + v for u, v in merges}
+        if len(made) != len(merges):
             raise ValueError("two merges make the same token")
-        self.born = {u + v: r for r, (u, v) in enumerate(merges)}
-        self._last: dict[str, list[tuple[str, int]]] = {}
-        self._first: dict[str, list[tuple[str, int]]] = {}
-        self.table: dict[int, bool] = {}
-        bad: set[str] = set()
-        for r, (u, v) in enumerate(merges):  # gadget by gadget
-            if u in bad or v in bad or self._merged_across(u, v, r):
-                bad.add(u + v)
-        self.ids = {t: i for t, i in vocab.items() if t not in bad}
-        self.name = {i: t for t, i in self.ids.items()}
-        #: Every prefix of a token, with the token's id where the prefix is one, else -1.
-        self.reading = {t[:n]: -1 for t in self.ids for n in range(1, len(t))} | self.ids
-
-    def _edge(self, token: str, side: int, memo: dict) -> list[tuple[str, int]]:
-        """The symbols at an end of a token, from the whole token down to one character, and the rank that ends each."""
-        if token not in memo:
-            found, until, at = [], _NEVER, token
-            while True:
-                found.append((at, until))
-                if at not in self.parts:
-                    break
-                until, at = self.born[at], self.parts[at][side]
-            memo[token] = found
-        return memo[token]
-
-    def _merged_across(self, x: str, y: str, before: int = _NEVER) -> bool:
-        for u, u_ends in self._edge(x, 1, self._last):
-            for v, v_ends in self._edge(y, 0, self._first):
-                r = self.rank.get((u, v))
-                # at the same rank the merge further left comes first: within x, or across
-                if r is not None and r < before and r < u_ends and r <= v_ends:
-                    return True
-        return False
+        if not made <= vocab.keys():
+            raise ValueError("a merge makes no token of the vocabulary")
+        n = max(vocab.values(), default=0) + 1
+        #: Of a made token its parts and the merge that makes it; symbols have been there before.
+        self.left, self.right, self.made = [-1] * n, [-1] * n, [-1] * n
+        #: The merge at which the state of u was copied without its arc v, by u << shift | v.
+        self.shift, self.lost = n.bit_length(), {}
+        there = {i for t, i in vocab.items() if t not in made}
+        for r, (u, v) in enumerate(merges):
+            self._gadget(r, vocab.get(u), vocab.get(v), vocab[u + v], there)
+        #: Tokens with arcs, and every prefix of one, with the token where the prefix is one, else -1.
+        known = {t: i for t, i in vocab.items() if i in there}
+        self.reading = {t[:n]: -1 for t in known for n in range(1, len(t))} | known
+
+    def _gadget(self, r: int, u: int | None, v: int | None, uv: int, there: set[int]) -> None:
+        """Put in merge r, unless no path has u before v by then; there: tokens with arcs."""
+        if u in there and v in there and self.arc(u, v):
+            self.left[uv], self.right[uv], self.made[uv] = u, v, r
+            self.lost[u << self.shift | v] = r
+            there.add(uv)
 
     def arc(self, state: int, token: int) -> bool:
-        """Enter an arc into the table."""
-        if len(self.table) >= ARCS_KEPT:
-            self.table.clear()
-        known = self.table[state << 32 | token] = not self._merged_across(self.name[state], self.name[token])
-        return known
+        """Whether the state that a token leads to has an arc for another, in the automaton as it is.
+
+        By until the state is followed back: its copies from then on don't count. A copy has its original's arcs but
+        the one it lost; a token made later has an arc where its left part had one by then; and the arcs of a made
+        token led at first to where its right part did.
+        """
+        left, right, made, lost, shift, until = self.left, self.right, self.made, self.lost, self.shift, _NEVER
+        while True:
+            at = lost.get(state << shift | token)
+            if at is not None and at < until:
+                return False
+            own, new = made[state], made[token]
+            if new >= 0 and new >= own:
+                token = left[token]
+                if new < until:
+                    until = new + 1
+            elif own >= 0:
+                state, until = right[state], own
+            else:
+                return True
 
     def encode(self, word: str) -> list[int]:
         """Token ids of a word of mapped bytes whose last character is END, if the vocabulary has word ends."""
-        reading, table, n = self.reading, self.table, len(word)
-        path: list[tuple[int, list[tuple[int, int]]]] = []  # of each token its start, and the arcs left to try there
+        reading, arc, n = self.reading, self.arc, len(word)
+        state = [-1] * (n + 1)
+        last = [0] * (n + 1)
+        for at in range(n):
+            here = state[at]
+            if here < 0 and at:
+                continue
+            to = at + 1
+            while to <= n and (token := reading.get(word[at:to])) is not None:
+                if token >= 0 and state[to] < 0 and (here < 0 or arc(here, token)):
+                    state[to], last[to] = token, at
+                to += 1
+            if state[n] >= 0:
+                break
+        if n and state[n] < 0:
+            raise ValueError(f"the vocabulary cannot spell {word!r}")
         out: list[int] = []
-        dead: set[int] = set()
-        at = 0
-        found: list[tuple[int, int]] | None = None
-        while at < n:
-            if found is None:
-                found, to = [], at + 1
-                while to <= n and (token := reading.get(word[at:to])) is not None:
-                    if token >= 0:
-                        found.append((token, to))
-                    to += 1
-            state = out[-1] if out else -1
-            while found:
-                token, to = found.pop()
-                if to not in dead:
-                    known = state < 0 or table.get(state << 32 | token)
-                    if known is None:
-                        known = self.arc(state, token)
-                    if known:
-                        out.append(token)
-                        path.append((at, found))
-                        at, found = to, None
-                        break
-            else:
-                if not path:
-                    raise ValueError(f"the vocabulary cannot spell {word!r}")
-                dead.add(at)  # the one path to here cannot go on
-                out.pop()
-                at, found = path.pop()
-        return out
+        while n:
+            out.append(state[n])
+            n = last[n]
+        return out[::-1]
 
 
 class WordTokenizer:
@@ -140,6 +131,25 @@ class WordTokenizer:
         chars = byte_chars()
         self.mapped = str.maketrans({chr(b): c for b, c in enumerate(chars)})
         self.known: dict[str, bytes] = {}
+        self.path, self._library, self._plain = path, None, set()
+
+    def _odd(self, part: str) -> bool:
+        """Whether a character has no meaning in Python's tables; the library's may be of a later version."""
+        new = set(part) - self._plain
+        odd = {c for c in new if unicodedata.category(c) == "Cn"}
+        self._plain |= new - odd
+        return bool(odd)
+
+    def _by_library(self, part: str) -> bytes:
+        """The ids of a text with characters that Python's tables don't know: the file's own library splits it."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self.path)
+        out: list[int] = []
+        for word, _ in self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(part)):
+            out += self.automaton.encode(word + self.end)
+        return struct.pack(f"<{len(out)}I", *out)
 
     def _packed(self, chunk: str) -> bytes:
         """The ids of a run without white space, or of any text, as little-endian 32-bit numbers."""
@@ -159,6 +169,9 @@ class WordTokenizer:
             if part in self.added:
                 found.append(np.array([self.added[part]], "<u4").tobytes())
                 continue
+            if not part.isascii() and self._odd(part):
+                found.append(self._by_library(part))
+                continue
             if not unicodedata.is_normalized("NFC", part):
                 part = unicodedata.normalize("NFC", part)
             part = part.replace("Σ", "σ").lower()  # the file's lower case knows no final sigma

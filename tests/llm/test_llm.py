@@ -623,10 +623,38 @@ def test_automaton_equals_merging(seed):
         if u + v not in tokens and len(u + v) <= 9:
             tokens.append(u + v)
             merges.append((u, v))
-    automaton = MergeAutomaton({t: i for i, t in enumerate(tokens)}, merges)
+    automaton, rank = MergeAutomaton({t: i for i, t in enumerate(tokens)}, merges), {pair: r for r, pair in enumerate(merges)}
     for _ in range(400):
         word = "".join(rng.choice(list("aab" if rng.random() < 0.5 else "abc"), rng.integers(1, 25)))
-        assert [tokens[i] for i in automaton.encode(word)] == bpe_by_force(word, automaton.rank), word
+        assert [tokens[i] for i in automaton.encode(word)] == bpe_by_force(word, rank), word
+
+
+def test_automaton_has_one_path_for_each_word():
+    """All token sequences of up to six letters: those whose arcs are all there are the encodings, one for each word."""
+    merges = [("a", "b"), ("a", "a"), ("b", "c"), ("aa", "a"), ("ab", "c"), ("c", "ab"), ("aa", "aa"), ("ab", "ab"), ("a", "abc"), ("cab", "b")]
+    tokens = ["a", "b", "c", *(u + v for u, v in merges)]
+    automaton, rank = MergeAutomaton({t: i for i, t in enumerate(tokens)}, merges), {pair: r for r, pair in enumerate(merges)}
+    paths, todo = defaultdict(list), [[i] for i in range(len(tokens))]
+    while todo:
+        path = todo.pop()
+        word = "".join(tokens[i] for i in path)
+        if len(word) <= 6 and all(t in automaton.reading and automaton.reading[t] >= 0 for t in (tokens[i] for i in path)):
+            paths[word].append(path)
+            todo += [[*path, i] for i in range(len(tokens)) if automaton.arc(path[-1], i)]
+    assert len(paths) == sum(3**n for n in range(1, 7))
+    assert all([[tokens[i] for i in path] for path in found] == [bpe_by_force(word, rank)] for word, found in paths.items())
+
+
+def test_characters_that_tables_do_not_know():
+    """Code points of later versions of Unicode, alone and within words, and every 61st of all."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    own, library = tokenizer(path), Tokenizer.from_file(path)
+    for c in [0x1C89, 0xA7DC, 0x088F, 0x10940, *range(0x80, 0x110000, 61)]:
+        if not 0xD800 <= c < 0xE000:
+            text = f"Wort {chr(c)} a{chr(c)}b <|endoftext|>"
+            assert own.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), hex(c)
 
 
 def test_bpe_equals_the_library(spark, awkward, sf_dir):
