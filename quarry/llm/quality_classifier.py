@@ -22,6 +22,8 @@ FEATURES = 384
 #: Width of the kernel in standard deviations of the statistics, and the ridge.
 WIDTH, RIDGE = 6.0, 1.0
 SEED = 7
+#: Partial sums that are added up at a time.
+FAN_IN = 16
 #: Bins of the scores from -0.5 to 1.5 in which calibration counts labels.
 BINS = 400
 _CLASS = np.zeros(256, np.int64)
@@ -72,7 +74,7 @@ def _matrix(column) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, share) -> np.ndarray | None:
-    """The sum over all rows of what share(x, y) gives for a batch; partitions are added up in two steps."""
+    """The sum over all rows of what share(x, y) gives for a batch, by a tree: no task, nor the driver, gets more than FAN_IN sums."""
 
     def part(batches):
         total = None
@@ -84,10 +86,19 @@ def _summed(rows: DataFrame, share) -> np.ndarray | None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
     def add(t: pa.Table) -> pa.Table:
-        return pa.table({"s": pa.array([np.sum([np.frombuffer(x, "<f8") for x in t["s"].to_pylist()], axis=0).tobytes()], pa.binary())})
-
-    parts = rows.mapInArrow(part, "s binary").withColumn("k", F.spark_partition_id() % 16)
-    got = parts.groupBy("k").applyInArrow(lambda t: add(t.select(["s"])), "s binary").collect()
+        total = 0
+        for x in t["s"]:
+            total = total + np.frombuffer(x.as_py(), "<f8")
+        return pa.table({"s": pa.array([total.tobytes()], pa.binary()), "k": t["k"][:1]})
+
+    parts = rows.mapInArrow(part, "s binary").withColumn("k", F.spark_partition_id().cast("long"))
+    n = rows.rdd.getNumPartitions()
+    while True:
+        parts = parts.withColumn("k", F.expr(f"k div {FAN_IN}")).groupBy("k").applyInArrow(add, "s binary, k bigint")
+        n = -(-n // FAN_IN)
+        if n <= FAN_IN:
+            break
+    got = parts.select("s").collect()
     return np.sum([np.frombuffer(r[0], "<f8") for r in got], axis=0) if got else None
 
 
