@@ -18,6 +18,8 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 DEFAULT = "allow"
 #: Rules of at most so many rows are sent to every executor; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Copies of each rule in a join by shuffle.
+SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,10 +62,16 @@ def url_filter(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, id_co
         each = [F.when((F.size(labels) >= n) & (F.length("path") >= c), _expression(F.array_join(F.slice(labels, -n, n), "."), F.substring("path", 1, c))) for n, c in sorted(shapes)]
         return F.array_compact(F.array(*each))
 
-    none = F.array(F.lit(None).cast("string"))  # so that a page without expressions keeps its row
+    none = F.array(F.lit(None).cast("string"))  # so that each page keeps a row; it goes where no rule is
     made = cut.withColumn("_e", F.explode(F.concat(let(F.split("host", r"\."), expand), none)))
     made = made.select("page_id", "host", "path", "_row", *_key(F.col("_e")))
-    hits = made.join(F.broadcast(keyed) if few else keyed, ["_prefix"], "left")
+    if few:
+        hits = made.join(F.broadcast(keyed), ["_prefix"], "left")
+    else:  # many pages share an expression: they are dealt to several copies of its rules
+        nowhere = F.concat(F.lit("-"), F.col("_row").cast("string"))
+        made = made.withColumn("_prefix", F.coalesce("_prefix", nowhere)).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int"))
+        keyed = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = made.join(keyed, ["_prefix", "_salt"], "left")
     confirmed = made["_digest"] == keyed["_digest"]
     best = F.max(F.when(confirmed, F.struct(F.length("_rule"), F.col("_action") == "block", F.col("_rule"), F.col("_action")))).alias("_best")
     judged = hits.groupBy("_row", "page_id", "host", "path").agg(best)
