@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -25,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where none is set, as in tests, a temporary one."""
+    """The folder in spark.checkpoint.dir; where none is set, a temporary one, if all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quarry-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -52,7 +55,7 @@ def release(spark: SparkSession | None = None) -> None:
                 at = jvm.org.apache.hadoop.fs.Path(path)
                 at.getFileSystem(owner.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
             except Exception:  # noqa: BLE001  the session may be gone; the cluster's own cleaning takes the folder
-                return
+                continue
 
 
 atexit.register(release)
