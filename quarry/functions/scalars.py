@@ -76,8 +76,8 @@ def day_diff(a: Column, b: Column) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Integer division that truncates; null for a zero divisor."""
-    return ((a - a % F.nullif(b, F.lit(0))) / F.nullif(b, F.lit(0))).cast("bigint")
+    """Division of whole numbers that truncates, exact in all 64 bits; null for a zero divisor."""
+    return F.call_function("div", a, F.nullif(b, F.lit(0)))
 
 
 # arrays

@@ -15,7 +15,7 @@ class Collapsing:
     """
 
     def __init__(self, sign: str = "sign") -> None:
-        self.sign = F.col(sign)
+        self.column, self.sign = sign, F.col(sign)
 
     @classmethod
     def parse(cls, engine: str) -> Collapsing:
@@ -36,10 +36,20 @@ class Collapsing:
         return F.sum(x * self.sign) / F.nullif(F.sum(F.when(x.isNotNull(), self.sign)), F.lit(0).cast("bigint"))
 
 
-def final_collapsing(df: DataFrame, keys: list[str], sign: str = "sign") -> DataFrame:
-    """The rows that are left when cancelled ones are gone: groups of equal rows with a positive sum of signs."""
+def final_collapsing(df: DataFrame, keys: list[str], sign: str = "sign", order: list[str] | None = None) -> DataFrame:
+    """The rows that are left when cancelled ones are gone.
+
+    With order, columns that grow with each entry: of a key whose signs add up to more than 0 the last row that was
+    entered, with sign 1, whatever values cancelled the others. Without: groups of equal rows with a positive sum of
+    signs, so a key stays with several rows if cancellations had other values.
+    """
     others = [c for c in df.columns if c != sign]
-    return df.groupBy(*others).agg(F.sum(sign).alias(sign)).filter(F.col(sign) > 0)
+    if not order:
+        return df.groupBy(*others).agg(F.sum(sign).alias(sign)).filter(F.col(sign) > 0)
+    rest = [c for c in others if c not in keys]
+    entered = F.when(F.col(sign) > 0, F.struct(*order))
+    left = df.groupBy(*keys).agg(F.sum(sign).alias("_sum"), F.max_by(F.struct(*rest), entered).alias("_last")).filter("_sum > 0")
+    return left.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest], F.lit(1).cast(df.schema[sign].dataType).alias(sign)).select(*df.columns)
 
 
 def final_replacing(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:

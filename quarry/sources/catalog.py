@@ -150,6 +150,12 @@ class Catalog:
         rows = [(c.name, c.dataType.simpleString(), c.nullable) for c in self.tables[name].schema]
         return self.spark.createDataFrame(rows, "column_name string, type string, nullable boolean")
 
+    def sql(self, text: str) -> DataFrame:
+        """A statement of the dialect; see quarry.functions.dialect. A collapsing table that is read alone counts by its signs."""
+        from quarry.functions.dialect import translate
+
+        return self.spark.sql(translate(text, self.tables, self.dictionaries))
+
     def raw_query(self, sql: str) -> str:
         """The result of a statement as tab-separated text. For results that fit the driver."""
         from quarry.sources import tsv
@@ -161,6 +167,6 @@ class Catalog:
         self.spark.catalog.dropTempView(name)
 
     def analyze(self, name: str) -> dict[str, int]:
-        """Row and byte estimates of a table as the optimizer has them."""
-        stats = self.table(name)._jdf.queryExecution().optimizedPlan().stats()
-        return {"bytes": int(str(stats.sizeInBytes()))}
+        """Rows of a table, counted (of Parquet files from their footers), and bytes as the optimizer estimates them."""
+        table = self.table(name)
+        return {"rows": table.count(), "bytes": int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))}

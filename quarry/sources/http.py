@@ -36,7 +36,7 @@ def _unescaped(field: str) -> str | None:
     out, i = [], 0
     while i < len(field):
         if field[i] == "\\" and i + 1 < len(field):
-            out.append(ESCAPES.get(field[i + 1], field[i + 1]))
+            out.append(ESCAPES.get(field[i + 1], field[i : i + 2]))
             i += 2
         else:
             out.append(field[i])
@@ -44,13 +44,41 @@ def _unescaped(field: str) -> str | None:
     return "".join(out)
 
 
+def _array(text: str, parse) -> list:
+    """An array's text, items quoted or not, arrays within arrays; parse: of an unquoted or quoted item's value (inner arrays as text)."""
+    items, i, depth, begin = [], 1, 0, 1
+
+    def item(raw: str):
+        raw = raw.strip()
+        if raw == "NULL":
+            return None
+        return parse(_unescaped(raw[1:-1]) if raw[:1] == "'" else raw)
+
+    while i < len(text):
+        c = text[i]
+        if c == "'":  # to the quote that ends it
+            i += 1
+            while i < len(text) and text[i] != "'":
+                i += 2 if text[i] == "\\" else 1
+        elif c == "[":
+            depth += 1
+        elif (c == "," and not depth) or (c == "]" and not depth):
+            if text[begin:i].strip():
+                items.append(item(text[begin:i]))
+            begin = i + 1
+        elif c == "]":
+            depth -= 1
+        i += 1
+    return items
+
+
 def _escaped(value) -> str:
     if value is None:
         return NULL
     if isinstance(value, bool):
         return str(int(value))
     if isinstance(value, (list, tuple)):
-        return "[" + ",".join("'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(x, str) else "NULL" if x is None else str(x) for x in value) + "]"
+        return "[" + ",".join("'" + _escaped(x) + "'" if isinstance(x, str) else _escaped(x) if isinstance(x, (list, tuple)) else "NULL" if x is None else str(x) for x in value) + "]"
     text = str(value).replace("\\", "\\\\")
     for letter, character in ESCAPES.items():
         if character != "\\":
@@ -61,7 +89,6 @@ def _escaped(value) -> str:
 def _parser(kind: T.DataType):
     import datetime as dt
     import decimal
-    import json
 
     if isinstance(kind, T.BooleanType):
         return lambda s: s in ("1", "true")
@@ -76,7 +103,7 @@ def _parser(kind: T.DataType):
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return lambda s: None if s.startswith("0000") else dt.datetime.fromisoformat(s)
     if isinstance(kind, T.ArrayType):
-        return lambda s: json.loads(s.replace("'", '"'))
+        return lambda s: _array(s, _parser(kind.elementType))
     return lambda s: s
 
 
@@ -95,7 +122,7 @@ class Client:
         self.settings = parse(options.get("settings", DEFAULTS))
 
     def open(self, sql: str, body: bytes = b"", attempts: int = ATTEMPTS):
-        """The answer to a statement. An insert is sent once: whether a lost one arrived cannot be known."""
+        """The answer to a statement. An insert is sent once by a task (a task that Spark runs again sends its rows again): whether a lost one arrived cannot be known."""
         named = {"query_id": str(uuid.uuid4())} | self.settings | ({"query": sql} if body else {})
         request = urllib.request.Request(self.options["url"] + "?" + urllib.parse.urlencode(named), data=body or sql.encode(), method="POST")
         if self.options.get("user"):
@@ -125,10 +152,12 @@ class _Reader(DataSourceReader):
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         parsers = [_parser(f.dataType) for f in self.schema]
+        arrays = [isinstance(f.dataType, T.ArrayType) for f in self.schema]
         with self.client.open(self.sql.replace("{part}", str(partition.value)) if self.n > 1 else self.sql) as answer:
             for line in answer:  # newlines within fields are escaped
-                fields = map(_unescaped, line.decode().rstrip("\n").split("\t"))
-                yield tuple(None if x is None else p(x) for p, x in zip(parsers, fields))
+                fields = line.decode().rstrip("\n").split("\t")
+                values = [x if a and x != NULL else _unescaped(x) for a, x in zip(arrays, fields)]  # an array's items have escapes of their own
+                yield tuple(None if x is None else p(x) for p, x in zip(parsers, values))
 
 
 class _Writer(DataSourceWriter):

@@ -12,10 +12,10 @@ NULL = r"\N"
 
 
 def unescaped(field: Column) -> Column:
-    r"""A field's value: \N is null, escapes are resolved from left to right, any other character after a backslash is itself."""
+    r"""A field's value: \N is null, escapes are resolved from left to right; an unknown one stays as it is, backslash included."""
     def turned(pair: Column) -> Column:
         second = F.substring(pair, 2, 1)
-        value = second
+        value = pair
         for letter, character in ESCAPES.items():
             value = F.when(second == letter, F.lit(character)).otherwise(value)
         return F.when(F.startswith(pair, F.lit("\\")) & (F.length(pair) == 2), value).otherwise(pair)
@@ -33,11 +33,11 @@ def escaped(value: Column) -> Column:
 
 
 def array_text(field: Column, element: T.DataType) -> Column:
-    """An array's text, `[1,2]` or `['a','b']`, as an array."""
-    if isinstance(element, T.StringType):
-        quoted = F.regexp_replace(F.regexp_replace(field, '"', r'\\\\"'), r"(?<!\\)'", '"')
-        return F.from_json(F.regexp_replace(quoted, r"\\\\'", "'"), T.ArrayType(element))
-    return F.from_json(field, T.ArrayType(element))
+    """An array's text, `[1,2]` or `['a','b',NULL]`, as an array; strings are quoted, with escapes as in fields."""
+    if not isinstance(element, T.StringType):
+        return F.from_json(F.regexp_replace(field, r"\bNULL\b", "null"), T.ArrayType(element))
+    items = F.regexp_extract_all(field, F.lit(r"(?s)'(?:[^'\\]|\\.)*'|NULL"), F.lit(0))
+    return F.when(field.isNotNull(), F.transform(items, lambda x: F.when(x != "NULL", unescaped(F.substring(x, F.lit(2), F.length(x) - 2)))))
 
 
 def _typed(value: Column, kind: T.DataType) -> Column:
@@ -56,7 +56,8 @@ def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Lines of the files under path as rows of the schema. Missing fields are null; an empty field is an empty string."""
     fields = F.split("value", "\t", -1)
     lines = spark.read.text(path, lineSep="\n").select(fields.alias("f"))
-    return lines.select(*[_typed(unescaped(F.get("f", F.lit(i))), c.dataType).alias(c.name) for i, c in enumerate(schema)])
+    field = lambda i, kind: F.nullif(F.get("f", F.lit(i)), F.lit(NULL)) if isinstance(kind, T.ArrayType) else unescaped(F.get("f", F.lit(i)))
+    return lines.select(*[_typed(field(i, c.dataType), c.dataType).alias(c.name) for i, c in enumerate(schema)])
 
 
 def lines(df: DataFrame) -> DataFrame:
@@ -64,12 +65,18 @@ def lines(df: DataFrame) -> DataFrame:
     def text(c: T.StructField) -> Column:
         col = F.col(f"`{c.name}`")
         if isinstance(c.dataType, T.BooleanType):
-            return col.cast("int").cast("string")
+            return escaped(col.cast("int").cast("string"))
+        if isinstance(c.dataType, T.ArrayType) and isinstance(c.dataType.elementType, T.StringType):
+            quoted = F.transform(col, lambda x: F.when(x.isNull(), F.lit("NULL")).otherwise(F.concat(F.lit("'"), escaped(x), F.lit("'"))))
+            return F.coalesce(F.concat(F.lit("["), F.array_join(quoted, ","), F.lit("]")), F.lit(NULL))
+        return escaped(plain(c, col))
+
+    def plain(c: T.StructField, col: Column) -> Column:
         if isinstance(c.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
             return F.to_json(col)
         return col.cast("string")
 
-    return df.select(F.concat_ws("\t", *[escaped(text(c)) for c in df.schema]).alias("value"))
+    return df.select(F.concat_ws("\t", *[text(c) for c in df.schema]).alias("value"))
 
 
 def write(df: DataFrame, path: str, mode: str = "error") -> None:

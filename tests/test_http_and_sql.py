@@ -111,3 +111,64 @@ def test_cancelling(spark):
             spark.range(10**15).selectExpr("sum(hash(id) % 7)").collect()
         timer.cancel()
     assert spark.range(5).count() == 5
+
+
+def test_dialect_in_text():
+    from quarry.functions.dialect import translate
+
+    assert translate("select sumIf(x, y > 1) from t") == "select sum(x) filter (where y > 1) from t"
+    assert translate("select 'argMin(a, b)', f(ARGMIN(a, g(b, c))) -- uniq(x)\nfrom t") == "select 'argMin(a, b)', f(min_by(a, g(b, c))) -- uniq(x)\nfrom t"
+    assert translate("select quantile(0.9)(x), quantile(x) from t") == "select percentile(x, 0.9D), percentile(x, 0.5D) from t"
+    assert translate("select sumMerge(s), t.sum(x) from t") == "select sum(s.sum), t.sum(x) from t"
+    with pytest.raises(ValueError, match="no dictionary"):
+        translate("select dictGet('none', 'a', 1)")
+    with pytest.raises(ValueError, match="not closed"):
+        translate("select sum(x")
+
+
+def test_tables_act_on_statements(spark):
+    """A collapsing table that is read alone counts by signs; a column of states is merged; with other tables nothing is assumed."""
+    from quarry.functions.dialect import translate
+    from quarry.sources.catalog import Table
+    from quarry.sources.types import schema_of
+
+    tables = {
+        "c": Table("c", "", schema_of([("v", "Int32"), ("s", "Int8")]), {"engine": "CollapsingMergeTree(s)"}),
+        "m": Table("m", "", schema_of([("b", "AggregateFunction(sum, Int32)"), ("e", "AggregateFunction(count)")]), {}),
+    }
+    spark.sql("select * from values (1, 1), (1, -1), (5, 1), (null, 1) as c(v, s)").createOrReplaceTempView("c")
+    assert tuple(spark.sql(translate("select sum(v), count(*), count(v), avg(v), max(v), count(distinct v), sum(v) filter (where v > 1) from c", tables)).first()) == (5, 2, 1, 5.0, 5, 2, 5)
+    assert translate("select count(*) from c join m on c.v = m.b", tables) == "select count(*) from c join m on c.v = m.b"
+    assert translate("select sumMerge(b), countMerge(e), count(e), count(*) from m", tables) == "select sum(b), coalesce(sum(e), 0L), coalesce(sum(e), 0L), count(*) from m"
+
+
+def test_composite_dictionary_in_text(spark):
+    from quarry.sources.catalog import Catalog
+
+    catalog = Catalog(spark)
+    catalog.create_dictionary("pairs", spark.sql("select * from values (1, 'k', 'v'), (2, 'l', null) as p(a, b, c)"), "a", "b")
+    found = catalog.sql("select dictGet('pairs', 'c', (x, y)) as c from values (1, 'k'), (2, 'l'), (3, 'm') as q(x, y) order by x").collect()
+    assert [r.c for r in found] == ["v", None, ""]
+
+
+def test_array_text_over_http():
+    from pyspark.sql import types as T
+
+    text = http._parser(T.ArrayType(T.StringType()))
+    for value in (["it's"], ['a"b'], ["a,b", "[c]", ""], [None, "NULL", "\\", "x\ty\nz"], [], ["\\q"]):
+        assert text(http._escaped(value)) == value
+    assert http._parser(T.ArrayType(T.LongType()))("[1, -2,NULL]") == [1, -2, None]
+    assert http._parser(T.ArrayType(T.ArrayType(T.StringType())))("[['a','b]'],[],['it\\'s']]") == [["a", "b]"], [], ["it's"]]
+    assert http._unescaped(r"a\xb\tc") == "a\\xb\tc"
+
+
+def test_starts_of_units_do_not_follow_the_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        sql.register(spark)
+        row = spark.sql("""select cast(toStartOfHour(t) as string), cast(toStartOfMinute(t) as string), cast(toStartOfDay(t) as string), cast(toStartOfQuarter(t) as string), toUnixTimestamp(t)
+            from values (timestamp_ntz'2024-03-10 02:30:40') as x(t)""").first()
+        assert tuple(row) == ("2024-03-10 02:00:00", "2024-03-10 02:30:00", "2024-03-10 00:00:00", "2024-01-01 00:00:00", 1710037840)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -66,6 +66,8 @@ def test_collapsing(spark):
     found = t.groupBy("k").agg(c.sum(F.col("v")), c.count(), c.count(F.col("v")), c.avg(F.col("v")), c.count(condition=F.col("v") > 15)).collect()
     assert sorted(map(tuple, found)) == [(1, 20, 1, 1, 20.0, 1), (2, 0, 1, 0, None, 0)]
     assert sorted(map(tuple, E.final_collapsing(t, ["k"], "s").collect())) == [(1, 20, 1), (2, None, 1)]
+    later = spark.createDataFrame([(2, "z", 1, 1), (2, "y", -1, 2), (2, "y2", 1, 3), (3, "a", 1, 1), (3, "b", -1, 2)], "k int, v string, s int, o int")
+    assert [tuple(r) for r in E.final_collapsing(later, ["k"], "s", ["o"]).collect()] == [(2, "y2", 1, 3)]
     assert E.Collapsing.parse("CollapsingMergeTree").sign is not None
     with pytest.raises(ValueError):
         E.Collapsing.parse("MergeTree")
@@ -107,7 +109,7 @@ def test_wall_times_do_not_follow_the_session(spark):
 def test_numbers_arrays_and_casts(spark):
     items, lit = F.array(F.lit(3), F.lit(5), F.lit(3)), F.lit
     for column, want in [
-        (S.int_div(lit(-7), lit(2)), -3), (S.int_div(lit(1), lit(0)), None), (S.subscript(items, 2), 5), (S.subscript(items, 0), None), (S.subscript(items, 9), None), (S.subarray(items, 2, 3), [5, 3]),
+        (S.int_div(lit(-7), lit(2)), -3), (S.int_div(lit(9007199254740993), lit(1)), 9007199254740993), (S.int_div(lit(1), lit(0)), None), (S.subscript(items, 2), 5), (S.subscript(items, 0), None), (S.subscript(items, 9), None), (S.subarray(items, 2, 3), [5, 3]),
         (S.index_of(items, lit(5)), 2), (S.index_of(items, lit(9)), None), (S.count_equal(items, lit(3)), 2), (S.any_of(lit(3), items), True), (S.ne_any(lit(3), items), True),
         (S.eq_all(lit(3), items), False), (S.ne_all(lit(4), items), True), (S.to_uint(lit(-1), 8), 255), (S.to_uint(lit(65535), 16), 65535), (S.to_uint(lit("70000"), 32), 70000),
         (S.strpos(lit("abcb"), "b"), 2), (S.match(lit("val1"), "^val[0-9]"), True),

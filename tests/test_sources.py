@@ -175,3 +175,9 @@ def test_pushdown_report(spark, sf_dir):
     assert len(r.joins) == 1
     lines = report(spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter(F.col("l_quantity") < 3).select("l_tax"))
     assert lines.exchanges == 0 and lines.read_columns == [["l_quantity", "l_tax"]]
+
+
+def test_tsv_arrays_of_strings(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ["it's", 'a"b', None, "NULL", ""]), (2, []), (3, None), (4, ["a,b", "\\", "x\ty\nz"])], "i int, a array<string>")
+    tsv.write(rows, str(tmp_path / "t"))
+    assert sorted(map(tuple, tsv.read(spark, str(tmp_path / "t"), rows.schema).collect())) == sorted(map(tuple, rows.collect()))
