@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from quarry.plans.registry import query
 from quarry.plans.tables import REVENUE, day, money, revenue, t
@@ -34,8 +35,7 @@ def tpch_q2(spark, d):
     parts = t(spark, d, "part").filter("p_size = 15").select("p_partkey")
     lines = t(spark, d, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left_semi").join(sellers.select("s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
     offers = _bridge(lines).join(sellers, F.col("ps_suppkey") == F.col("s_suppkey")).withColumnRenamed("ps_partkey", "p_partkey")
-    least = offers.groupBy("p_partkey").agg(F.min("ps_cost").alias("m"))
-    return offers.join(least, "p_partkey").filter("ps_cost = m").select("p_partkey", "s_name", "n_name")
+    return offers.withColumn("m", F.min("ps_cost").over(W.partitionBy("p_partkey"))).filter("ps_cost = m").select("p_partkey", "s_name", "n_name")
 
 
 @query(f"""select l_orderkey, o_orderdate, cast(sum({REVENUE}) as double) as revenue from customer join orders on c_custkey = o_custkey join lineitem on l_orderkey = o_orderkey
@@ -62,10 +62,11 @@ where r_name = 'ASIA' and o_orderdate >= timestamp '1996-01-01' and o_orderdate
 def tpch_q5(spark, d):
     places = t(spark, d, "nation").join(t(spark, d, "region").filter("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name")
     year = t(spark, d, "orders").filter((F.col("o_orderdate") >= day("1996-01-01")) & (F.col("o_orderdate") < day("1997-01-01")))
-    bought = year.join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    people = t(spark, d, "customer").join(places.select("n_nationkey"), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey", "c_nationkey")
+    bought = year.join(people, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
     sold = t(spark, d, "supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_nationkey", "n_name")
-    lines = t(spark, d, "lineitem").join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.join(sold, (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("c_nationkey") == F.col("s_nationkey"))).groupBy("n_name").agg(_total(revenue(), "revenue"))
+    lines = t(spark, d, "lineitem").join(sold, F.col("l_suppkey") == F.col("s_suppkey"))
+    return lines.join(bought, (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("c_nationkey") == F.col("s_nationkey"))).groupBy("n_name").agg(_total(revenue(), "revenue"))
 
 
 @query("""select cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2))) as double) as revenue from lineitem
@@ -176,8 +177,9 @@ and cast(l_quantity as decimal(12,2)) * 5 * (select count(*) from lineitem x whe
 def tpch_q17(spark, d):
     brand = t(spark, d, "part").filter("p_brand = 'Brand#23'").select("p_partkey")
     lines = t(spark, d, "lineitem").join(brand, F.col("l_partkey") == F.col("p_partkey"))
-    mean = lines.groupBy("p_partkey").agg(F.sum(money("l_quantity")).alias("s"), F.count("*").alias("n"))
-    small = lines.join(mean, "p_partkey").filter(money("l_quantity") * 5 * F.col("n") < F.col("s") * 2)
+    same = W.partitionBy("p_partkey")
+    each = lines.select("p_partkey", "l_quantity", "l_extendedprice").withColumns({"s": F.sum(money("l_quantity")).over(same), "n": F.count("*").over(same)})
+    small = each.filter(money("l_quantity") * 5 * F.col("n") < F.col("s") * 2)
     return small.agg((F.sum(money("l_extendedprice")).cast("double") / 7.0).alias("yearly"))
 
 
