@@ -21,12 +21,13 @@ class Server:
     name: str
     options: dict[str, str] = field(default_factory=dict)
     users: dict[str, dict[str, str]] = field(default_factory=dict, repr=False)
+    cloud_suffixes: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         self.options = S.validated(self.options, S.SERVER_KEYS, "server")
         self.options.setdefault("driver", "http")
         self.options.setdefault("host", "localhost")
-        self.options.setdefault("port", str(S.default_port(self.options["driver"], self.options["host"])))
+        self.options.setdefault("port", str(S.default_port(self.options["driver"], self.options["host"], self.cloud_suffixes)))
 
     def user_mapping(self, name: str, **options: str) -> None:
         self.users[name] = S.validated(options, S.USER_KEYS, "user mapping")
@@ -52,10 +53,10 @@ class Table:
 
 
 class Catalog:
-    """Named tables of a session; each is also a temporary view."""
+    """Named tables of a session; each is also a temporary view. Servers whose host ends in one of cloud_suffixes are reached over the encrypted port unless one is given."""
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
+    def __init__(self, spark: SparkSession, cloud_suffixes: tuple[str, ...] = ()) -> None:
+        self.spark, self.cloud_suffixes = spark, cloud_suffixes
         self.servers: dict[str, Server] = {}
         self.tables: dict[str, Table] = {}
         self.dictionaries: dict[str, Dictionary] = {}
@@ -63,7 +64,7 @@ class Catalog:
         self._clients: dict[tuple[str, str], object] = {}
 
     def create_server(self, name: str, **options: str) -> Server:
-        self.servers[name] = Server(name, options)
+        self.servers[name] = Server(name, options, cloud_suffixes=self.cloud_suffixes)
         return self.servers[name]
 
     def alter_server(self, name: str, user: str | None = None, **options: str) -> None:
@@ -91,14 +92,45 @@ class Catalog:
             self._clients[server, user] = Client(self._remote_options(server, user))
         return self._clients[server, user]
 
-    def remote_table(self, server: str, table: str, columns: list[tuple[str, str]] | T.StructType, user: str = "default", query: str | None = None) -> DataFrame:
-        """A table, or a query, that a server answers over HTTP; the settings of the session go with it."""
+    def remote_table(
+        self, server: str, table: str, columns: list[tuple[str, str]] | T.StructType, user: str = "default", query: str | None = None,
+        where: str | None = None, limit: int | None = None, split: tuple[str, int, int, int] | None = None,
+    ) -> DataFrame:
+        """A table, or a query, that a server answers over HTTP; the settings of the session go with it.
+
+        The server selects the columns, applies `where` (a condition in its words) and cuts each task's answer to limit
+        rows, of which limit remain in all; later filters, joins and aggregates are Spark's unless the query has them.
+        split: (whole-number column, lower, upper, tasks).
+        """
         from quarry.sources.http import HttpSql
 
         self.spark.dataSource.register(HttpSql)
         schema = columns if isinstance(columns, T.StructType) else schema_of(columns)
         nullable = T.StructType([T.StructField(c.name, c.dataType, True) for c in schema])
-        return self.spark.read.format("http_sql").schema(nullable).options(table=table, **self._remote_options(server, user), **({"query": query} if query else {})).load()
+        options = {"table": table} | self._remote_options(server, user) | {k: v for k, v in (("query", query), ("where", where)) if v}
+        if limit is not None:
+            options["limit"] = str(int(limit))
+        if split:
+            options |= dict(zip(("partition_column", "lower", "upper", "partitions"), map(str, split)))
+        found = self.spark.read.format("http_sql").schema(nullable).options(**options).load()
+        return found if limit is None else found.limit(limit)
+
+    def import_remote(self, server: str, database: str, user: str = "default", limit_to: list[str] | None = None, except_: list[str] | None = None, prefix: str = "") -> list[str]:
+        """Make views of the tables of a server's database, their types read from its list of columns; those named `.inner*` are left out."""
+        if limit_to is not None and except_ is not None:
+            raise ValueError("limit_to and except_ exclude each other")
+        from quarry.sources.http import _unescaped, quoted
+
+        sql = f"select table, name, type from system.columns where database = {quoted(database)} order by table, position"
+        with self.connect(server, user).open(sql) as answer:
+            lines = [[_unescaped(x) for x in line.decode().rstrip("\n").split("\t")] for line in answer]
+        columns: dict[str, list[tuple[str, str]]] = {}
+        for table, name, kind in lines:
+            if not table.startswith(".inner") and (limit_to is None or table in limit_to) and table not in (except_ or ()):
+                columns.setdefault(table, []).append((name, kind))
+        for table, listed in columns.items():
+            self.remote_table(server, f"{database}.{table}", listed, user).createOrReplaceTempView(prefix + table)
+        return [prefix + table for table in columns]
 
     def remote_insert(self, df: DataFrame, server: str, table: str, user: str = "default") -> None:
         """Append rows to a table of a server."""

@@ -4,11 +4,23 @@
     spark.read.format("http_sql").schema(...).option("url", "http://host:8123/").option("query", "select ...").load()
 
 With `partitions` and a `{part}` in the query, each task sends its own statement, so that large answers are
-read by many tasks; without, one task reads all. Answers are streamed, never held whole.
+read by many tasks; so they are with `partition_column`, `lower` and `upper`, which cut a whole-number column into
+ranges (rows beyond the bounds and nulls are read too). Without, one task reads all. `where` is a condition that
+the server applies, `limit` bounds the rows of each task's answer. Answers are streamed and handed on in Arrow
+batches, never held whole.
+
+Spark's own filters stay with Spark: in PySpark 4.1 what a Python source is told to filter stays with the relation, so
+that another query on the same DataFrame gets the first one's rows (tests/test_http_and_sql.py shows that none do here).
+
+Inserts carry a token made of the write, the task and the place of a request within the task, in the setting
+`insert_deduplication_token`: where a server heeds it, a task that Spark runs again adds no rows, if the rows come in
+the same order. Where it doesn't, such a task's rows are there twice.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import time
 import urllib.error
 import urllib.parse
@@ -16,8 +28,11 @@ import urllib.request
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quarry.sources.tsv import ESCAPES, NULL
 
@@ -25,7 +40,9 @@ from quarry.sources.tsv import ESCAPES, NULL
 ATTEMPTS = 3
 #: Bytes of rows that are sent in one request.
 SEND_BYTES = 8 << 20
-_OPTIONS = ("url", "query", "table", "user", "password", "settings", "partitions", "timeout")
+#: Rows of an Arrow batch.
+BATCH_ROWS = 8192
+_OPTIONS = ("url", "query", "table", "user", "password", "settings", "partitions", "timeout", "partition_column", "lower", "upper", "limit", "where")
 
 
 def _unescaped(field: str) -> str | None:
@@ -87,9 +104,6 @@ def _escaped(value) -> str:
 
 
 def _parser(kind: T.DataType):
-    import datetime as dt
-    import decimal
-
     if isinstance(kind, T.BooleanType):
         return lambda s: s in ("1", "true")
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -121,9 +135,9 @@ class Client:
         self.options = dict(options)
         self.settings = parse(options.get("settings", DEFAULTS))
 
-    def open(self, sql: str, body: bytes = b"", attempts: int = ATTEMPTS):
-        """The answer to a statement. An insert is sent once by a task (a task that Spark runs again sends its rows again): whether a lost one arrived cannot be known."""
-        named = {"query_id": str(uuid.uuid4())} | self.settings | ({"query": sql} if body else {})
+    def open(self, sql: str, body: bytes = b"", attempts: int = ATTEMPTS, **settings: str):
+        """The answer to a statement. An insert is sent once by a task: whether a lost one arrived cannot be known."""
+        named = {"query_id": str(uuid.uuid4())} | self.settings | settings | ({"query": sql} if body else {})
         request = urllib.request.Request(self.options["url"] + "?" + urllib.parse.urlencode(named), data=body or sql.encode(), method="POST")
         if self.options.get("user"):
             request.add_header("X-User", self.options["user"])
@@ -139,46 +153,98 @@ class Client:
                 time.sleep(0.2)
 
 
+def quoted(text: str) -> str:
+    """A text as a literal of a statement."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class _Reader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]) -> None:
         self.schema, self.client = schema, Client(options)
-        self.sql = options.get("query") or f"select {', '.join(schema.names)} from {options['table']}"
+        self.query, self.table, self.limit = options.get("query"), options.get("table"), options.get("limit")
         self.n = int(options.get("partitions", "1"))
-        if self.n > 1 and "{part}" not in self.sql:
-            raise ValueError("a query for several partitions needs {part} in it")
+        self.by = options.get("partition_column")
+        self.where = [f"({options['where']})"] if options.get("where") else []
+        if self.by and not ("lower" in options and "upper" in options):
+            raise ValueError("partition_column needs lower and upper")
+        self.bounds = (int(options["lower"]), int(options["upper"])) if self.by else (0, 0)
+        if self.n > 1 and not self.by and "{part}" not in (self.query or ""):
+            raise ValueError("a query for several partitions needs {part} in it, or a partition_column")
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(i) for i in range(self.n)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        parsers = [_parser(f.dataType) for f in self.schema]
-        arrays = [isinstance(f.dataType, T.ArrayType) for f in self.schema]
-        with self.client.open(self.sql.replace("{part}", str(partition.value)) if self.n > 1 else self.sql) as answer:
+    def _slice(self, part: int) -> list[str]:
+        """The range of partition_column that is this partition's; the outer ones are open."""
+        if not self.by or self.n == 1:
+            return []
+        low, high = self.bounds
+        cut = [low + (high - low) * i // self.n for i in (part, part + 1)]
+        if part == 0:
+            return [f"({self.by} < {cut[1]} or {self.by} is null)"]
+        return [f"{self.by} >= {cut[0]}"] + ([f"{self.by} < {cut[1]}"] if part < self.n - 1 else [])
+
+    def statement(self, part: int) -> str:
+        where = self._slice(part) + self.where
+        named = f"select {', '.join(self.schema.names)} from "
+        if not self.query:
+            sql = named + str(self.table)
+        else:
+            sql = self.query.replace("{part}", str(part)) if self.n > 1 else self.query
+            sql = f"{named}({sql}) as q" if where or self.limit else sql
+        return sql + (" where " + " and ".join(where) if where else "") + (f" limit {int(self.limit)}" if self.limit else "")
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        batch: list[list[str]] = []
+        with self.client.open(self.statement(partition.value)) as answer:
             for line in answer:  # newlines within fields are escaped
-                fields = line.decode().rstrip("\n").split("\t")
-                values = [x if a and x != NULL else _unescaped(x) for a, x in zip(arrays, fields)]  # an array's items have escapes of their own
-                yield tuple(None if x is None else p(x) for p, x in zip(parsers, values))
+                batch.append(line.decode().rstrip("\n").split("\t"))
+                if len(batch) == BATCH_ROWS:
+                    yield self._batch(batch)
+                    batch = []
+        if batch:
+            yield self._batch(batch)
+
+    def _batch(self, lines: list[list[str]]) -> pa.RecordBatch:
+        columns = [_column(texts, f.dataType) for texts, f in zip(zip(*lines), self.schema)]
+        return pa.RecordBatch.from_arrays(columns, self.schema.names)
+
+
+def _column(texts: tuple[str, ...], kind: T.DataType) -> pa.Array:
+    known = [None if x == NULL else x for x in texts]
+    arrow = to_arrow_type(kind)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return pa.array(known, pa.string()).cast(arrow)
+    parse = _parser(kind)
+    if not isinstance(kind, T.ArrayType):  # an array's items have escapes of their own
+        known = [None if x is None else _unescaped(x) for x in known]
+    values = [None if x is None else parse(x) for x in known]
+    if isinstance(kind, T.TimestampType):
+        values = [None if x is None else x.astimezone(dt.timezone.utc) for x in values]
+    return pa.array(values, arrow)
 
 
 class _Writer(DataSourceWriter):
     def __init__(self, schema: T.StructType, options: dict[str, str]) -> None:
-        self.client = Client(options)
+        self.client, self.id = Client(options), uuid.uuid4().hex
         self.sql = f"INSERT INTO {options['table']} ({', '.join(schema.names)}) FORMAT TSV"
 
     def write(self, rows: Iterator) -> WriterCommitMessage:
-        held, size = [], 0
+        held, size, sent = [], 0, 0
         for row in rows:
             held.append("\t".join(map(_escaped, row)) + "\n")
             size += len(held[-1])
             if size >= SEND_BYTES:
-                self._send(held)
-                held, size = [], 0
+                self._send(held, sent)
+                held, size, sent = [], 0, sent + 1
         if held:
-            self._send(held)
+            self._send(held, sent)
         return WriterCommitMessage()
 
-    def _send(self, rows: list[str]) -> None:
-        self.client.open(self.sql, "".join(rows).encode(), attempts=1).close()
+    def _send(self, rows: list[str], sent: int) -> None:
+        task = TaskContext.get()
+        token = f"{self.id}-{task.partitionId() if task else 0}-{sent}"
+        self.client.open(self.sql, "".join(rows).encode(), attempts=1, insert_deduplication_token=token).close()
 
 
 class HttpSql(DataSource):

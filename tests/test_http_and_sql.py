@@ -26,6 +26,8 @@ def server():
             self.end_headers()
             if bad:
                 self.wfile.write(b"no such table")
+            elif "system.columns" in body:
+                self.wfile.write(b"t\ti\tInt32\nt\ts\tNullable(String)\n.inner.v\tx\tInt8\nu\tk\tUInt8\n")
             elif "query" not in given:
                 part = body[-1] if body[-1].isdigit() else "0"
                 self.wfile.write(f"{part}\ta\\tb\t\\N\t2020-01-02 03:04:05\t[1,2]\n".encode())
@@ -87,6 +89,61 @@ def test_servers_of_the_catalog(spark, server):
         c.alter_server("s", user="default", nope="x")
 
 
+def test_conditions_limits_and_ranges_go_to_the_server(spark, server):
+    from quarry.sources.catalog import Catalog
+
+    url, seen = server
+    host, port = url.removeprefix("http://").rstrip("/").split(":")
+    c = Catalog(spark)
+    c.create_server("s", host=host, port=port)
+    columns = [("i", "Int32"), ("s", "String"), ("n", "Nullable(Float64)"), ("t", "DateTime"), ("a", "Array(Int32)")]
+    found = c.remote_table("s", "t", columns, where="i < 5 or i > 10")
+    assert found.count() == 1 and seen[-1][1] == "select i, s, n, t, a from t where (i < 5 or i > 10)"
+    assert c.remote_table("s", "t", columns, query="select * from x", where="n > 1").count() == 1
+    assert seen[-1][1] == "select i, s, n, t, a from (select * from x) as q where (n > 1)"
+    assert c.remote_table("s", "t", columns, limit=1, split=("i", 0, 10, 2)).count() == 1 and seen[-1][1].endswith(" limit 1")
+    before = len(seen)
+    assert c.remote_table("s", "t", columns, split=("i", 0, 10, 3), where="i <> 4").count() == 3
+    assert sorted(x[1].split(" where ")[1] for x in seen[before:]) == ["(i < 3 or i is null) and (i <> 4)", "i >= 3 and i < 6 and (i <> 4)", "i >= 6 and (i <> 4)"]
+
+
+def test_queries_on_one_remote_table_do_not_see_each_others_filters(spark, server):
+    from quarry.sources.catalog import Catalog
+
+    url, seen = server
+    host, port = url.removeprefix("http://").rstrip("/").split(":")
+    c = Catalog(spark)
+    c.create_server("s", host=host, port=port)
+    found = c.remote_table("s", "t", [("i", "Int32"), ("s", "String"), ("n", "Nullable(Float64)"), ("t", "DateTime"), ("a", "Array(Int32)")])
+    assert found.filter("i > 70").count() == 0 and found.count() == 1 and found.filter("i < 70").count() == 1
+    assert {x[1] for x in seen} == {"select i, s, n, t, a from t"}
+    assert http.quoted("it's \\") == r"'it\'s \\'"
+
+
+def test_import_from_a_server(spark, server):
+    from quarry.sources.catalog import Catalog, Server
+
+    url, seen = server
+    host, port = url.removeprefix("http://").rstrip("/").split(":")
+    c = Catalog(spark)
+    c.create_server("s", host=host, port=port)
+    assert c.import_remote("s", "db", prefix="far_") == ["far_t", "far_u"] and "database = 'db'" in seen[-1][1]
+    assert spark.table("far_t").dtypes == [("i", "int"), ("s", "string")]
+    assert c.import_remote("s", "db", limit_to=["u"]) == ["u"] and c.import_remote("s", "db", except_=["u"], prefix="x_") == ["x_t"]
+    with pytest.raises(ValueError, match="exclude"):
+        c.import_remote("s", "db", limit_to=[], except_=[])
+    assert Server("a", {"host": "x.cloud.example"}, cloud_suffixes=(".cloud.example",)).options["port"] == "8443"
+
+
+def test_inserts_carry_a_token(spark, server):
+    url, seen = server
+    spark.dataSource.register(http.HttpSql)
+    before = len(seen)
+    spark.range(4).repartition(2).write.format("http_sql").option("url", url).option("table", "t").mode("append").save()
+    tokens = [x[0]["insert_deduplication_token"] for x in seen[before:]]
+    assert len(set(tokens)) == len(tokens) == 2 and len({x.split("-")[0] for x in tokens}) == 1
+
+
 def test_retries_then_gives_up():
     client = http.Client({"url": "http://127.0.0.1:9/"})
     with pytest.raises(OSError):
