@@ -8,6 +8,7 @@ from pyspark.sql.window import Window as W
 from quarry.operators import aggregates as A
 from quarry.operators import engines as E
 from quarry.operators import maps as M
+from quarry.operators.quantiles import exact_quantile
 from quarry.plans.registry import query
 from quarry.plans.tables import REVENUE, money, revenue, t
 
@@ -51,18 +52,20 @@ _by_flag("agg_distinct_filter", "count(distinct l_suppkey) filter (where l_quant
 _by_flag("agg_uniq_exact", "count(distinct l_partkey) as n", lambda: A.uniq_exact(F.col("l_partkey")).alias("n"))
 _by_flag("agg_uniq_exact_multi", "count(distinct (l_orderkey, l_linenumber)) as n", lambda: A.uniq_exact(F.col("l_orderkey"), F.col("l_linenumber")).alias("n"))
 _by_flag("agg_uniq_exact_if", "count(distinct l_partkey) filter (where l_quantity > 40) as n", lambda: A.uniq_exact_if(F.col("l_quantity") > 40, F.col("l_partkey")).alias("n"))
-_by_flag("agg_quantile_default", "quantile_cont(l_quantity, 0.5) as q", lambda: A.quantile(F.col("l_quantity")).alias("q"))
-_by_flag("agg_quantile", "quantile_cont(l_quantity, 0.25) as q", lambda: A.quantile(F.col("l_quantity"), 0.25).alias("q"))
-_by_flag("agg_quantile_if", "quantile_cont(l_quantity, 0.9) filter (where l_linenumber = 1) as q", lambda: A.when_true(lambda x: A.quantile(x, 0.9), F.col("l_linenumber") == 1, F.col("l_quantity")).alias("q"))
-_by_flag("agg_percentile_cont", "quantile_cont(l_extendedprice, 0.5) as q", lambda: A.percentile_cont(F.col("l_extendedprice"), 0.5).alias("q"))
-_by_flag("agg_percentile_cont_filter", "quantile_cont(l_quantity, 0.25) filter (where l_linenumber = 1) as q", lambda: A.percentile_cont(F.when(F.col("l_linenumber") == 1, F.col("l_quantity")), 0.25).alias("q"))
-_by_flag("agg_percentile_expr", "quantile_cont(cast(floor(epoch(l_shipdate)) as bigint), 0.5) as q", lambda: A.percentile_cont(F.unix_timestamp("l_shipdate"), 0.5).alias("q"))
-
-
-@query("select l_returnflag, cast(quantile_disc(l_quantity, 0.75) as double) as q from lineitem group by 1")
-def agg_quantile_exact(spark, d):
-    lines = t(spark, d, "lineitem")
-    return lines.groupBy("l_returnflag").agg(A.quantile_exact("l_quantity", 0.75).alias("q"))
+
+
+def _quantile(name: str, sql: str, p: float, x, interpolate: bool = True) -> None:
+    """An exact quantile by return flag: by brackets, so that no group's values need fit in a task."""
+    query(f"select l_returnflag, {sql} as q from lineitem group by 1", name)(lambda spark, d: exact_quantile(t(spark, d, "lineitem"), ["l_returnflag"], x(), p, interpolate=interpolate))
+
+
+_quantile("agg_quantile_default", "quantile_cont(l_quantity, 0.5)", 0.5, lambda: F.col("l_quantity"))
+_quantile("agg_quantile", "quantile_cont(l_quantity, 0.25)", 0.25, lambda: F.col("l_quantity"))
+_quantile("agg_quantile_if", "quantile_cont(l_quantity, 0.9) filter (where l_linenumber = 1)", 0.9, lambda: F.when(F.col("l_linenumber") == 1, F.col("l_quantity")))
+_quantile("agg_percentile_cont", "quantile_cont(l_extendedprice, 0.5)", 0.5, lambda: F.col("l_extendedprice"))
+_quantile("agg_percentile_cont_filter", "quantile_cont(l_quantity, 0.25) filter (where l_linenumber = 1)", 0.25, lambda: F.when(F.col("l_linenumber") == 1, F.col("l_quantity")))
+_quantile("agg_percentile_expr", "quantile_cont(cast(floor(epoch(l_shipdate)) as bigint), 0.5)", 0.5, lambda: F.unix_timestamp("l_shipdate"))
+_quantile("agg_quantile_exact", "cast(quantile_disc(l_quantity, 0.75) as double)", 0.75, lambda: F.col("l_quantity"), interpolate=False)
 
 
 for _name, _f in (("agg_argmin", "min"), ("agg_argmax", "max")):

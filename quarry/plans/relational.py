@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import functions as F
@@ -10,6 +11,16 @@ from quarry.functions import scalars as S
 from quarry.plans.registry import query
 from quarry.plans.tables import day, money, t
 
+
+
+def _shared(spark) -> str:
+    """The folder that driver and executors share; a temporary one only where all runs in one process."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (found or f"file://{tempfile.mkdtemp(prefix='quarry-insert-')}").rstrip("/")
+
+
 # scans and projections
 
 
@@ -42,7 +53,7 @@ def import_schema_describe(spark, d):
 def insert_roundtrip(spark, d):
     from quarry.sources.sinks import insert
 
-    at = (spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='quarry-insert-')}").rstrip("/") + "/insert_roundtrip"
+    at = _shared(spark) + "/insert_roundtrip"
     rows = t(spark, d, "region")
     insert(rows.select("r_name", "r_regionkey"), at, rows.schema, overwrite=True)
     return spark.read.schema(rows.schema).parquet(at)
@@ -192,11 +203,12 @@ def join_on_cast(spark, d):
     return t(spark, d, "supplier").join(t(spark, d, "nation"), on).select("s_suppkey", "n_name")
 
 
-@query("select a.s_suppkey as a, b.s_suppkey as b from supplier a join supplier b on a.s_nationkey = b.s_nationkey and a.s_suppkey < b.s_suppkey")
+@query("select a.l_orderkey as l_orderkey, a.l_linenumber as a, b.l_linenumber as b from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber < b.l_linenumber where a.l_suppkey = b.l_suppkey")
 def join_self(spark, d):
-    a, b = t(spark, d, "supplier").alias("a"), t(spark, d, "supplier").alias("b")
-    on = (F.col("a.s_nationkey") == F.col("b.s_nationkey")) & (F.col("a.s_suppkey") < F.col("b.s_suppkey"))
-    return a.join(b, on).select(F.col("a.s_suppkey").alias("a"), F.col("b.s_suppkey").alias("b"))
+    """Pairs of lines of one order by the same supplier: a key of a few rows each, so pairs grow with the lines."""
+    a, b = t(spark, d, "lineitem").alias("a"), t(spark, d, "lineitem").alias("b")
+    on = (F.col("a.l_orderkey") == F.col("b.l_orderkey")) & (F.col("a.l_suppkey") == F.col("b.l_suppkey")) & (F.col("a.l_linenumber") < F.col("b.l_linenumber"))
+    return a.join(b, on).select(F.col("a.l_orderkey").alias("l_orderkey"), F.col("a.l_linenumber").alias("a"), F.col("b.l_linenumber").alias("b"))
 
 
 @query("""with o as (select o_custkey, count(*) as n from orders group by 1) select c_mktsegment, cast(sum(n) as bigint) as n from customer join o on c_custkey = o_custkey group by 1""")
