@@ -6,6 +6,9 @@ import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +18,11 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Runs that replacing by one space would change; a lone space is left alone, which saves most of the work.
 _ODD_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
-#: Number of sub-keys over which one group's rows are dealt when they fetch what was computed for the group.
+#: Least number of sub-keys over which one group's rows are dealt when they fetch what was computed for the group.
 SALTS = 64
 
 _written: dict[str, SparkSession] = {}
+_noted: ContextVar[list[str] | None] = ContextVar("_noted", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,13 +46,26 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/quarry/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written[path] = spark
+    if (noted := _noted.get()) is not None:
+        noted.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession | None = None) -> None:
-    """Delete what materialise() has written; DataFrames that read it must not be used afterwards."""
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The folders of tables that materialise() writes within, by this thread, in order."""
+    paths: list[str] = []
+    token = _noted.set(paths)
+    try:
+        yield paths
+    finally:
+        _noted.reset(token)
+
+
+def release(spark: SparkSession | None = None, paths: list[str] | None = None) -> None:
+    """Delete what materialise() has written, or of that these paths; DataFrames that read it must not be used afterwards."""
     for path, owner in list(_written.items()):
-        if spark is None or owner is spark:
+        if (spark is None or owner is spark) and (paths is None or path in paths):
             _written.pop(path)
             try:
                 jvm = owner.sparkContext._jvm
@@ -79,13 +96,15 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def with_group(df: DataFrame, keys: list[str], salt_by: Column, parts: dict[str, Column], whole: dict[str, Column], salts: int = SALTS) -> DataFrame:
+def with_group(df: DataFrame, keys: list[str], salt_by: Column, parts: dict[str, Column], whole: dict[str, Column], salts: int | None = None) -> DataFrame:
     """Add to each row what is aggregated over its group, without bringing a group's rows together.
 
     parts: partial aggregates by (keys, salt). whole: aggregates of those by keys. Each group's result
     then goes to the salts that it occurs with, at most `salts` rows, and is joined on (keys, salt):
-    a group that holds a third of all rows is read by many tasks.
+    a group that holds a third of all rows is read by many tasks. salts: by default as many as a shuffle has
+    partitions, SALTS at least, so that the largest group's share of a task shrinks as the cluster grows.
     """
+    salts = salts or max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     part = salted.groupBy(*keys, "_salt").agg(*[c.alias(n) for n, c in parts.items()])
     total = part.groupBy(*keys).agg(*[c.alias(n) for n, c in whole.items()], F.collect_set("_salt").alias("_salts"))
