@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import language_id as lid
-from quarry.llm.common import fresh, materialise, table
+from quarry.llm.common import fresh, materialise, noting, release, table
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.ngram_join import ngram_jaccard_join, row_key
 from quarry.llm.packing import pack_documents
@@ -32,15 +32,16 @@ def _edited(docs: DataFrame, columns: list[str]) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language: those without a letter are rejected, and those that score below what rows of their length scored that were learned from.
 
-    If no row teaches a language, all documents with a letter stay.
+    If no row teaches a language, all documents with a letter stay. Columns that are called as the operator calls its own keep their values.
     """
-    given = docs.drop("lang_pred", "score")
+    aside = {c: fresh(f"_given_{c}", docs.columns) for c in docs.columns if c.lower() in ("lang_pred", "score")}
+    given = docs.withColumnsRenamed(aside)
     learned = ~lid.held_out(F.col("doc_id"), 4, 2) & F.col("lang").isNotNull()
     prototypes = lid.fit(given.filter(learned))
     if not prototypes:
-        return given.filter(F.col("text").rlike(r"\p{L}"))
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     judged = materialise(lid.identify(given, prototypes))
-    return judged.filter(lid.accepted(lid.score_bounds(judged.filter(learned)))).select(*[F.col(f"`{c}`") for c in given.columns])
+    return judged.filter(lid.accepted(lid.score_bounds(judged.filter(learned)))).select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,7 +87,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; what a stage has written is deleted once the next one's documents are, so that the shared folder holds two stages at most."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        with noting() as wrote:
+            docs = materialise(stage(spark, docs, sf_dir))
+        release(spark, before + wrote[:-1])
+        before = wrote[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
