@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_llm import AWKWARD, WORD, check_places, components_by_force, frame, in_order, kept_by_force, lines_by_force
 
+from quarry.llm import common
 from quarry.llm.common import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -93,8 +94,17 @@ def test_everything_is_packed(steps):
     assert sum(1 for r in rows if r.piece == 0) == steps[4].count()
 
 
+def test_own_columns_stay(spark, sf_dir):
+    docs = frame(spark, AWKWARD).withColumns({"Score": F.col("doc_id") * 2, "lang_pred": F.lit("mine"), "_given_Score": F.lit(1)})
+    found = corpus_pipeline.identify_language(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert {(r["Score"], r["lang_pred"], r["_given_Score"]) for r in found.collect() if r.doc_id is not None} == {(i * 2, "mine", 1) for i, t in AWKWARD if i is not None and t and any(c.isalpha() for c in t)}
+
+
 def test_run(spark, sf_dir):
+    before = set(common._written)
     found = corpus_pipeline.run(spark, sf_dir)
+    assert len(set(common._written) - before) == 2  # the last documents, and their pieces
     check_places(found.collect())
     assert set(found.columns) >= {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
 
