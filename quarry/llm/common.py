@@ -20,6 +20,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 _ODD_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 #: Least number of sub-keys over which one group's rows are dealt when they fetch what was computed for the group.
 SALTS = 64
+#: Rows of whole texts that a Parquet reader and what goes to Python take at a time: a reader's batch of thousands is one array of many MB.
+TEXT_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": 128, "spark.sql.execution.arrow.maxRecordsPerBatch": 1000}
 
 _written: dict[str, SparkSession] = {}
 _noted: ContextVar[list[str] | None] = ContextVar("_noted", default=None)
@@ -51,6 +53,21 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def short_batches(spark: SparkSession) -> Iterator[None]:
+    """What the session runs within takes TEXT_ROWS at a time, or fewer if it is set so; its settings are then as they were."""
+    given = spark.conf.getAll
+    before = {k: given.get(k) for k in TEXT_ROWS}
+    try:
+        for k, most in TEXT_ROWS.items():
+            now = int(spark.conf.get(k))
+            spark.conf.set(k, min(now, most) if now > 0 else most)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def noting() -> Iterator[list[str]]:
     """The folders of tables that materialise() writes within, by this thread, in order."""

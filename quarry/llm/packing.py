@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.llm.bpe import byte_chars
-from quarry.llm.common import fresh, materialise
+from quarry.llm.common import fresh, materialise, short_batches
 
 CAPACITY = 1024
 #: Added after each document.
@@ -371,4 +371,6 @@ def best_fit_pack(items: DataFrame, size_col: str = "length", capacity: int = CA
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece of each document: token_pieces() with the places that best_fit_pack() finds."""
-    return best_fit_pack(materialise(token_pieces(docs, path, capacity)), "length", capacity)
+    with short_batches(docs.sparkSession):
+        pieces = materialise(token_pieces(docs, path, capacity))
+    return best_fit_pack(pieces, "length", capacity)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import grams, language_id, ngram_join, packing, quality_classifier, substring_dedup, url_filter
 from quarry.llm.bpe import MergeAutomaton, bpe_decode, bpe_encode, bpe_round_trip, tokenizer
-from quarry.llm.common import materialise, with_group
+from quarry.llm.common import TEXT_ROWS, materialise, short_batches, with_group
 from quarry.llm.exact_dedup import chunks, exact_dedup, verified
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.ngram_join import connected_components, ngram_jaccard_join, required
@@ -363,6 +363,46 @@ def test_texts_that_the_encoder_cannot_split():
         assert (packing.token_ids(text, path) == packing._library(path).encode(text, add_special_tokens=False).ids).all()
 
 
+def reader_batches(spark, since):
+    """Batches that scans gave to later steps, by execution of SQL from `since` on."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    store = spark._jsparkSession.sharedState().statusStore()
+    found, runs = [], store.executionsList()
+    for e in (runs.apply(i) for i in range(since, runs.size())):
+        values, metrics = store.executionMetrics(e.executionId()), e.metrics()
+        for m in (metrics.apply(i) for i in range(metrics.size())):
+            if m.name() == "number of input batches" and values.contains(m.accumulatorId()):
+                found.append(int(values.apply(m.accumulatorId()).replace(",", "")))
+    return found
+
+
+def test_texts_are_packed_in_short_batches(spark, tmp_path):
+    """Thousands of texts in one batch of the reader are one large array, which makes the executors' memory grow."""
+    frame(spark, [(i, f"text {i}") for i in range(2000)]).coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs, given = spark.read.parquet(str(tmp_path / "docs")), {k: spark.conf.get(k) for k in TEXT_ROWS}
+    since = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    packed = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    assert reader_batches(spark, since)[0] == -(-2000 // 128)
+    assert {k: spark.conf.get(k) for k in TEXT_ROWS} == given and not set(TEXT_ROWS) & set(spark.conf.getAll)
+    rows = packed.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(2000))
+    check_places(rows)
+
+
+def test_settings_of_batches_come_back(spark):
+    reader, arrow = TEXT_ROWS
+    try:
+        spark.conf.set(reader, 50)
+        spark.conf.set(arrow, 0)
+        with pytest.raises(ZeroDivisionError), short_batches(spark):
+            assert (spark.conf.get(reader), spark.conf.get(arrow)) == ("50", str(TEXT_ROWS[arrow]))
+            1 / 0
+        assert (spark.conf.get(reader), spark.conf.get(arrow)) == ("50", "0")
+    finally:
+        spark.conf.unset(reader)
+        spark.conf.unset(arrow)
+
+
 def check_places(rows, capacity=1024):
     by = defaultdict(list)
     for r in rows:
