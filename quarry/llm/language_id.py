@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import lean, lean_batches
+
 DIMENSIONS = 1024
 SEED = 20240229
 UNDETERMINED = "und"
@@ -133,9 +135,9 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict
         return pa.table({"lang": t["lang"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
     known = docs.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
-    parts = known.mapInArrow(share, "lang string, sums binary").withColumn("part", F.spark_partition_id() % 64)
-    some = parts.groupBy("lang", "part").applyInArrow(lambda t: add(t.select(["lang", "sums"])), "lang string, sums binary")
-    rows = some.groupBy("lang").applyInArrow(add, "lang string, sums binary").collect()
+    parts = known.mapInArrow(lean_batches(share), "lang string, sums binary").withColumn("part", F.spark_partition_id() % 64)
+    some = parts.groupBy("lang", "part").applyInArrow(lean(lambda t: add(t.select(["lang", "sums"]))), "lang string, sums binary")
+    rows = some.groupBy("lang").applyInArrow(lean(add), "lang string, sums binary").collect()
     return {r["lang"]: np.frombuffer(r["sums"], "<f8") for r in sorted(rows, key=lambda r: r["lang"])}
 
 
@@ -168,7 +170,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(lean_batches(run), f"{schema}, lang_pred string, score double")
 
 
 def _size_class(text: Column) -> Column:

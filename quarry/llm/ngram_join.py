@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import grams as G
-from quarry.llm.common import materialise, with_group
+from quarry.llm.common import lean, lean_batches, materialise, with_group
 
 WIDTH = 5
 #: Similarity in percent.
@@ -132,9 +132,9 @@ def prefixes(docs: DataFrame, width: int = WIDTH, threshold: int = THRESHOLD, id
         })
 
     own = dealt.groupBy("_grp")
-    counted = own.applyInArrow(count, G.MESSAGE).groupBy("bucket").applyInArrow(add, G.MESSAGE)
+    counted = own.applyInArrow(lean(count), G.MESSAGE).groupBy("bucket").applyInArrow(lean(add), G.MESSAGE)
     kind = taken.schema["doc_id"].dataType.simpleString()
-    return own.cogroup(counted.groupBy("grp")).applyInArrow(choose, f"rid bigint, doc_id {kind}, key bigint, n bigint, text string, tokens binary, places binary, bits array<bigint>, least array<bigint>")
+    return own.cogroup(counted.groupBy("grp")).applyInArrow(lean(choose), f"rid bigint, doc_id {kind}, key bigint, n bigint, text string, tokens binary, places binary, bits array<bigint>, least array<bigint>")
 
 
 def _entries(found: DataFrame) -> DataFrame:
@@ -150,7 +150,7 @@ def _entries(found: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), b.column(0).take(where), b.column(1).take(where), pa.array(place)], ["token", "rid", "n", "place"])
 
     listed = found.filter("tokens is not null").select("rid", "n", "tokens", "places")
-    return listed.mapInArrow(run, "token bigint, rid bigint, n bigint, place bigint")
+    return listed.mapInArrow(lean_batches(run), "token bigint, rid bigint, n bigint, place bigint")
 
 
 def _compared(pairs: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -175,7 +175,7 @@ def _compared(pairs: DataFrame, found: DataFrame, width: int, threshold: int) ->
     with_b = with_a.join(texts.select(F.col("rid").alias("b"), F.col("n").alias("b_n"), F.col("text").alias("b_text")), "b")
     near = with_b.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * threshold)
     names = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in more)
-    return near.select("a", "b", "a_text", "b_text", *(f.name for f in more)).mapInArrow(run, f"a bigint, b bigint, {names}both bigint, either bigint")
+    return near.select("a", "b", "a_text", "b_text", *(f.name for f in more)).mapInArrow(lean_batches(run), f"a bigint, b bigint, {names}both bigint, either bigint")
 
 
 def _block(n: Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.llm.bpe import byte_chars
-from quarry.llm.common import fresh, materialise, short_batches
+from quarry.llm.common import fresh, lean_batches, materialise, short_batches
 
 CAPACITY = 1024
 #: Added after each document.
@@ -107,7 +107,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator
 
     taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = taken.schema["doc_id"].dataType.simpleString()
-    return taken.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
+    return taken.mapInArrow(lean_batches(run), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids)
 
 
 def lower_bound(counts: list[int] | np.ndarray, capacity: int = CAPACITY) -> int:
@@ -366,7 +366,7 @@ def best_fit_pack(items: DataFrame, size_col: str = "length", capacity: int = CA
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(bins), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return ranked.mapInArrow(run, f"{schema}, sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(lean_batches(run), f"{schema}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -1,12 +1,21 @@
 """The corpus pipeline, stage by stage, against brute force on each stage's own input."""
 
+import ctypes
+import importlib
+import os
+import re
+from pathlib import Path
+
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
 from test_llm import AWKWARD, WORD, check_places, components_by_force, frame, in_order, kept_by_force, lines_by_force
 
 from quarry.llm import common
-from quarry.llm.common import materialise
+from quarry.llm.common import TEXT_ROWS, materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -112,3 +121,69 @@ def test_run(spark, sf_dir):
 def test_empty(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_workers_give_back_what_groups_took(spark, sf_dir, monkeypatch):
+    """Whatever runs in Python workers is lean; a worker that keeps its largest group's memory keeps it beside all that the JVM does later."""
+    given = []
+
+    def noted(owner, name):
+        before = getattr(owner, name)
+        monkeypatch.setattr(owner, name, lambda self, f, *a, **b: given.append((name, f)) or before(self, f, *a, **b))
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(50)
+    noted(type(docs), "mapInArrow")
+    noted(type(docs.groupBy("doc_id")), "applyInArrow")
+    noted(PandasCogroupedOps, "applyInArrow")
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir)
+    assert {n for n, _ in given} == {"mapInArrow", "applyInArrow"} and len(given) >= 12
+    assert [f.__qualname__ for n, f in given if not f.__qualname__.startswith("lean_batches." if n == "mapInArrow" else "lean.")] == []
+
+
+def resident():
+    return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim") or not os.path.exists("/proc/self/status"), reason="another C library")
+def test_freed_memory_goes_back():
+    """200 MB of small arrays that are freed behind one that stays."""
+    stay = []
+
+    def fill(_):
+        many = [np.ones(2000) for _ in range(13_000)]
+        stay.append(np.ones(2000))
+        return len(many)
+
+    before = resident()
+    assert common.lean(lambda t: fill(t))(pa.table({})) == 13_000
+    assert resident() - before < 60
+    assert list(common.lean_batches(lambda batches: (fill(b) for b in batches))(iter([1, 2]))) == [13_000, 13_000]
+    assert resident() - before < 60
+    fill(None)
+    assert resident() - before > 60  # without, they stay
+    common.give_back()
+
+
+def test_results_and_errors_of_lean_functions():
+    assert [common.lean(f)(*range(n)) for n, f in ((1, lambda a: a), (2, lambda a, b: (a, b)), (3, lambda a, b, c: (a, b, c)))] == [0, (0, 1), (0, 1, 2)]
+    with pytest.raises(ZeroDivisionError):
+        common.lean(lambda a: 1 / a)(0)
+    with pytest.raises(ZeroDivisionError):
+        list(common.lean_batches(lambda batches: (1 / b for b in batches))(iter([1, 0])))
+
+
+def test_what_stages_write_is_read_in_short_batches(spark, sf_dir, monkeypatch):
+    docs, given, seen = spark.read.parquet(f"{sf_dir}/documents.parquet"), {k: spark.conf.get(k) for k in TEXT_ROWS}, []
+
+    def noted(df):
+        seen.append({k: int(spark.conf.get(k)) for k in TEXT_ROWS})
+        return materialise(df)
+
+    for module in ("corpus_pipeline", "quarry.llm.line_dedup", "quarry.llm.ngram_join"):
+        monkeypatch.setattr(importlib.import_module(module), "materialise", noted)
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        seen.clear()
+        stage(spark, docs, sf_dir)
+        assert seen and all(x == TEXT_ROWS for x in seen)
+        assert {k: spark.conf.get(k) for k in TEXT_ROWS} == given
